@@ -28,29 +28,29 @@ def seeded_rank(
     within: Sequence[str] = (),
     pos: str = "pos",
     total: str | None = None,
-    first: int | str | None = None,
+    first: int | Column | None = None,
     digits: int = DIGITS,
 ) -> DataFrame:
     """Add each row's 1-based place in the seeded order, per ``within`` group.
 
     The leading hex digits of the hash are an even range partition of the order, so
     counts per leading-digit block give every block its start and only the rows of a
-    block are sorted together. ``first`` keeps rows up to that place (a number, or the
-    name of a column of ``within`` totals computed from ``total``); blocks that start
-    later are dropped before the shuffle. ``key`` must identify a row.
+    block are sorted together. ``first`` keeps rows up to that place (a number, or a
+    column of the ``within`` values); blocks that start later are dropped before the
+    shuffle. ``key`` must identify a row.
     """
     within = list(within)
     keys = [F.col(k) for k in key]
     hashed = df.withColumn("_hash", seeded_hash(*keys, seed=seed)).withColumn(
         "_blk", F.left("_hash", F.lit(digits))
     )
-    counts = hashed.groupBy(*within, "_blk").agg(F.count("*").alias("_n"))
+    counts = hashed.groupBy(*within, "_blk").agg(F.count("*").alias("_rows"))
     by_set = Window.partitionBy(*within)
     before = by_set.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    starts = counts.withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
     if total:
-        starts = starts.withColumn(total, F.sum("_n").over(by_set))
-    starts = starts.drop("_n")
+        starts = starts.withColumn(total, F.sum("_rows").over(by_set))
+    starts = starts.drop("_rows")
     if first is not None:
         starts = starts.where(F.col("_start") < first)
     if not within and digits <= BROADCAST_DIGITS:

@@ -160,7 +160,7 @@ def group_advantage(
     stats = scored.groupBy(task).agg(
         F.avg(r).alias("_mean"), F.coalesce(F.stddev_samp(r), F.lit(0.0)).alias("_std")
     )
-    centred = scored.join(stats, task).withColumn("_d", r - F.col("_mean"))
+    centred = scored.join(stats, task, "left").withColumn("_d", r - F.col("_mean"))
     if scale == "group":
         value = F.col("_d") / (F.col("_std") + F.lit(eps))
     elif scale == "batch":
