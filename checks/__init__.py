@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("scoring", "tasks")
+MODULES = ("scoring", "tasks", "chats", "trials")
 
 
 def load() -> None:

@@ -249,7 +249,10 @@ SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def with_ctes(sql: str, ctes: dict[str, str]) -> str:
-    """Prefix ``sql`` with the CTEs it names, in order, and those they name in turn."""
+    """Prefix ``sql`` with the CTEs it names, in order, and those they name in turn.
+
+    ``sql`` may start with a comma and further CTEs of its own.
+    """
     names = list(ctes)
     wanted: set[str] = set()
     todo = [n for n in names if n in sql]
@@ -258,7 +261,8 @@ def with_ctes(sql: str, ctes: dict[str, str]) -> str:
         if name not in wanted:
             wanted.add(name)
             todo += [n for n in names if n in ctes[name] and n != name]
+    sql = sql.strip()
     if not wanted:
-        return sql
+        return f"WITH {sql[1:]}" if sql.startswith(",") else sql
     head = ",\n".join(f"{n} AS ({ctes[n].strip()})" for n in names if n in wanted)
-    return f"WITH {head}\n{sql.strip()}"
+    return f"WITH {head}\n{sql}"
