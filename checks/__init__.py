@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("scoring", "tasks", "chats", "trials")
+MODULES = ("scoring", "tasks", "chats", "trials", "flows")
 
 
 def load() -> None:

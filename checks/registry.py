@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.fixtures import CTES, SPARK, table, with_ctes
+from patchloom.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -37,7 +38,7 @@ def query(sql: str | None = None, name: str | None = None):
         key = name or fn.__name__
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Inputs(spark, sf_dir))
+            return fn(Inputs(tune(spark), sf_dir))
 
         QUERIES[key] = run
         if sql is not None:
