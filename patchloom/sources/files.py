@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patchloom.functions.text import strip
+from patchloom.operators.scans import running
 
 TASK_SCHEMA = (
     "instance_id string, repo string, patch string, problem_statement string, hints_text string, "
@@ -24,6 +25,9 @@ ITERATION_SCHEMA = (
 )
 TRIAL_SCHEMA = "trial bigint, eval_loss double, params map<string,string>, state string"
 
+# Text files up to this size are read as one value.
+WHOLE_FILE_BYTES = 64 * 1024 * 1024
+
 
 def _is_directory(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -41,7 +45,7 @@ def _json_documents(spark: SparkSession, path: str, schema: str, glob: str, **op
     A single JSON value cannot be split, so each such file is parsed by one task; JSON
     lines are the form to use for large sets.
     """
-    files = spark.read.options(wholetext="true", pathGlobFilter=glob, **options).text(path)
+    files = spark.read.options(pathGlobFilter=glob, **options).text(path, wholetext=True)
     body, fail = F.ltrim("value"), {"mode": "FAILFAST"}
     listed = F.from_json(body, f"array<struct<{_struct(schema)}>>", fail)
     keyed = F.map_values(F.from_json(body, f"map<string,struct<{_struct(schema)}>>", fail))
@@ -69,17 +73,39 @@ def read_tasks(spark: SparkSession, path: str) -> DataFrame:
     return lines.unionByName(documents)
 
 
-def _paragraphs(spark: SparkSession, path: str) -> DataFrame:
-    # the reader cuts records at blank lines, so a text file of any size is split
-    # between tasks; files with other line ends are normalised and cut again
-    records = spark.read.options(lineSep="\n\n", pathGlobFilter="*.txt").text(path)
-    lines = F.regexp_replace("value", "\r\n?", "\n")
-    whole = F.when(F.contains("value", F.lit("\r")), lines).otherwise(F.col("value"))
-    parts = records.select(F.explode(F.split(whole, "\n\n")).alias("text"))
-    return parts.select(strip(F.col("text")).alias("text")).where("text <> ''")
+def _paragraphs(spark: SparkSession, path: str, whole_file_bytes: int) -> DataFrame:
+    """Non-blank paragraphs of text files: runs of text between empty lines.
+
+    Small files are read whole and cut in place. A larger file is read line by line in
+    splits; its lines are numbered by the empty lines before them, split by split, and
+    gathered per paragraph, so no task ever holds the file.
+    """
+    reader = spark.read.option("pathGlobFilter", "*.txt")
+    size = F.col("_metadata.file_size")  # files are chosen by size before any is opened
+    whole = reader.text(path, wholetext=True).where(size <= whole_file_bytes)
+    newlines = F.regexp_replace("value", "\r\n?", "\n")
+    body = F.when(F.contains("value", F.lit("\r")), newlines).otherwise(F.col("value"))
+    small = whole.select(F.explode(F.split(body, "\n\n")).alias("text"))
+
+    lines = reader.text(path).where(size > whole_file_bytes)
+    placed = lines.select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"),  # rises within a split
+    )
+    empty = F.when(F.col("value") == "", 1).otherwise(0).cast("bigint")
+    numbered = running(placed, ["file"], ["start", "line"], F.col("start"), {"number": ("sum", empty)})
+    gathered = (
+        numbered.where("value <> ''")
+        .groupBy("file", "number")
+        .agg(F.sort_array(F.collect_list(F.struct("start", "line", "value"))).alias("lines"))
+    )
+    large = gathered.select(F.array_join("lines.value", "\n").alias("text"))
+    return small.unionByName(large).select(strip(F.col("text")).alias("text")).where("text <> ''")
 
 
-def read_corpus(spark: SparkSession, path: str) -> DataFrame:
+def read_corpus(spark: SparkSession, path: str, *, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
     """Texts for continued pretraining: one ``.txt`` file, or a directory.
 
     Text files give their non-blank paragraphs; JSON lines give ``text``, where a missing
@@ -88,9 +114,10 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     if not _is_directory(spark, path):
         if not path.endswith(".txt"):
             raise ValueError(f"not a corpus: {path}")
-        return _paragraphs(spark, path)
+        return _paragraphs(spark, path, whole_file_bytes)
     lines = _json_lines(spark, path, "text string", "*.jsonl")
-    return _paragraphs(spark, path).unionByName(lines.select(F.coalesce("text", F.lit("")).alias("text")))
+    texts = _paragraphs(spark, path, whole_file_bytes)
+    return texts.unionByName(lines.select(F.coalesce("text", F.lit("")).alias("text")))
 
 
 def read_preferences(spark: SparkSession, path: str, schema: str = PREFERENCE_SCHEMA) -> DataFrame:
@@ -124,8 +151,8 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
 
 def collect_patches(spark: SparkSession, path: str) -> DataFrame:
     """Every ``.diff`` file below a directory, whole, with its path."""
-    files = spark.read.options(wholetext="true", recursiveFileLookup="true", pathGlobFilter="*.diff")
-    return files.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("patch"))
+    files = spark.read.options(recursiveFileLookup="true", pathGlobFilter="*.diff").text(path, wholetext=True)
+    return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("patch"))
 
 
 def read_trials(spark: SparkSession, path: str) -> DataFrame:
