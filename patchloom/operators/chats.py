@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patchloom.functions.chat import RESPONSE_ROLE, TURN_START, effort_line, turn_text
-from patchloom.operators.scans import running
+from patchloom.operators.scans import lookup_join, running
 
 # Agent step cap; data set size classes and the least useful size.
 STEP_CAP = 25
@@ -128,18 +128,18 @@ def limit_steps(
 
 def select_resolved(traj: DataFrame, reports: DataFrame, on: str = "conv_id") -> DataFrame:
     """Traces whose report says resolved."""
-    return traj.join(reports.where("resolved").select(on).distinct(), on, "left_semi")
+    return lookup_join(traj, reports.where("resolved").select(on).distinct(), [on], "left_semi")
 
 
 def select_failed(traj: DataFrame, reports: DataFrame, on: str = "conv_id") -> DataFrame:
     """All other traces: reported unresolved, without a verdict, or without a report."""
-    return traj.join(reports.where("resolved").select(on).distinct(), on, "left_anti")
+    return lookup_join(traj, reports.where("resolved").select(on).distinct(), [on], "left_anti")
 
 
 def answered(turns: DataFrame, *, conv: str = "conv_id", role: str = "role") -> DataFrame:
     """Conversations with at least one assistant turn."""
     replied = turns.where(F.col(role) == RESPONSE_ROLE).select(conv).distinct()
-    return turns.join(replied, conv, "left_semi")
+    return lookup_join(turns, replied, [conv], "left_semi")
 
 
 def quality_filter(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:

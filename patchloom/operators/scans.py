@@ -126,7 +126,7 @@ def exact_median(
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     points = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
     cut = rows.groupBy(*keys).agg(F.percentile_approx("_v", points, 10_000).alias("_cuts"))
-    pieces = rows.join(cut, keys).select(
+    pieces = lookup_join(rows, cut, keys, "inner").select(
         *keys, "_v", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_piece")
     )
     # one row per key and distinct value: this is the only large shuffle
@@ -166,6 +166,22 @@ def dense_index(df: DataFrame, order: Sequence[str], block: Column, *, out: str
     return running(tagged, ["_all"], order, block, {out: ("sum", one)}, inclusive=False).drop("_all")
 
 
+def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join rows to a table with one row per key (an aggregate), safe for a hot key on the left.
+
+    Spark splits a skewed join partition at run time only when both sides come straight
+    from a shuffle of their own. An aggregate on the same key would be joined right after
+    its own shuffle and block that, so a hash of the key is joined on as well: it changes
+    no result and costs one more shuffle of the small side.
+    """
+    on = list(on)
+    mark = F.xxhash64(*on)
+    joined = left.withColumn("_key_hash", mark).join(
+        right.withColumn("_key_hash", mark), ["_key_hash", *on], how
+    )
+    return joined.drop("_key_hash")
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Hint a broadcast only after counting that the table is small; else leave the plan alone."""
     small = df.limit(max_rows + 1).count() <= max_rows

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from patchloom.functions import rewards as R
 from patchloom.functions.patches import extract_patch, imports_ok, strip_global_lines
 from patchloom.functions.text import est_tokens
-from patchloom.operators.scans import dense_index
+from patchloom.operators.scans import dense_index, lookup_join
 
 KEY = ("task_id", "gen")
 MODES = ("test", "format", "hybrid")
@@ -152,7 +152,7 @@ def group_advantage(
     """Reward minus the task's mean, divided by the spread of the task or of the batch.
 
     Means and deviations are aggregates joined back, not a window: they combine before
-    the shuffle, and a task with very many completions stays spread over tasks.
+    the shuffle, and a task with very many completions is split at run time.
     """
     if scale not in ("group", "batch", "none"):
         raise ValueError(f"unknown scale {scale!r}")
@@ -160,7 +160,7 @@ def group_advantage(
     stats = scored.groupBy(task).agg(
         F.avg(r).alias("_mean"), F.coalesce(F.stddev_samp(r), F.lit(0.0)).alias("_std")
     )
-    centred = scored.join(stats, task, "left").withColumn("_d", r - F.col("_mean"))
+    centred = lookup_join(scored, stats, [task]).withColumn("_d", r - F.col("_mean"))
     if scale == "group":
         value = F.col("_d") / (F.col("_std") + F.lit(eps))
     elif scale == "batch":
@@ -228,7 +228,7 @@ def preference_pairs(
     rejected = scored.select(
         task, F.col(gen).alias("rejected_gen"), F.col(reward).alias("rejected_reward")
     )
-    return rejected.join(pick.select(task, *chosen), task).where(
+    return lookup_join(rejected, pick.select(task, *chosen), [task], "inner").where(
         F.col("chosen_reward") > F.col("rejected_reward")
     )
 

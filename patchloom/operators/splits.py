@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patchloom.functions.seeds import SEED, hash_share, seeded_hash
-from patchloom.operators.scans import seeded_rank
+from patchloom.operators.scans import lookup_join, seeded_rank
 
 # Default sizes of the train, validation and test slices.
 TRAIN_SIZE, VAL_SIZE, TEST_SIZE = 200, 50, 100
@@ -132,10 +132,10 @@ def split_leaks(a: DataFrame, b: DataFrame, text: str = "text") -> DataFrame:
     digest, size = text_key(F.col(text))
     seen = b.select(digest.alias("_digest"), size.alias("_size")).distinct()
     tagged = a.withColumns({"_digest": digest, "_size": size})
-    return tagged.join(seen, ["_digest", "_size"], "left_semi").drop("_digest", "_size")
+    return lookup_join(tagged, seen, ["_digest", "_size"], "left_semi").drop("_digest", "_size")
 
 
 def unused(tasks: DataFrame, splits: DataFrame, on: Sequence[str] = ("task_id",)) -> DataFrame:
     """Rows no split took."""
-    return tasks.join(splits.select(*on).distinct(), list(on), "left_anti")
+    return lookup_join(tasks, splits.select(*on).distinct(), on, "left_anti")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from patchloom.functions.patches import patch_files
 from patchloom.functions.seeds import SEED
-from patchloom.operators.scans import fits_broadcast, seeded_rank
+from patchloom.operators.scans import fits_broadcast, lookup_join, seeded_rank
 
 # Candidates kept per strategy, and seconds allowed per kind of run.
 STRATEGY_CAPS = {
@@ -83,7 +83,7 @@ def transition_lists(
     )
     share = F.pmod(F.xxhash64(test), F.coalesce("_parts", F.lit(1).cast("bigint")))
     return (
-        named.join(large, task, "left")
+        lookup_join(named, large, [task])
         .withColumn("part", share.cast("bigint"))
         .groupBy(task, "part")
         .agg(
@@ -105,7 +105,7 @@ def valid_tasks(transitions: DataFrame, min_f2p: int = 1, min_p2p: int = 1) -> D
 def task_instances(tasks: DataFrame, results: DataFrame, **options) -> DataFrame:
     """Valid tasks with their FAIL_TO_PASS and PASS_TO_PASS lists."""
     good = valid_tasks(test_transitions(results)).select("task_id")
-    lists = transition_lists(results.join(good, "task_id", "left_semi"), **options).select(
+    lists = transition_lists(lookup_join(results, good, ["task_id"], "left_semi"), **options).select(
         "task_id",
         "part",
         F.col("fail_to_pass").alias("FAIL_TO_PASS"),
@@ -234,7 +234,7 @@ def combine_bugs(
 
 def pending(tasks: DataFrame, done: DataFrame, on: Sequence[str] = ("task_id",)) -> DataFrame:
     """Tasks not finished yet. Repeats in ``done`` are folded before they move."""
-    return tasks.join(done.select(*on).distinct(), list(on), "left_anti")
+    return lookup_join(tasks, done.select(*on).distinct(), on, "left_anti")
 
 
 def assign_batches(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from patchloom.operators.scans import exact_median, running
+from patchloom.operators.scans import exact_median, lookup_join, running
 
 # Checkpoints kept, steps between them, evaluations in a skill search.
 KEEP, SAVE_EVERY, MAX_CALLS = 3, 50, 600
@@ -115,7 +115,7 @@ def median_prune(
     after = best.where((F.col(step) > warmup) & F.col("_best").isNotNull()).select(trial, step, "_best")
     medians = exact_median(after, [step], "_best", out="_median")
     return (
-        after.join(medians, step)
+        lookup_join(after, medians, [step], "inner")
         .where(F.col("_best") > F.col("_median"))
         .groupBy(trial)
         .agg(F.min(step).alias("prune_step"))
