@@ -17,8 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a table that is one split over the cores. Larger tables are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() == 1 else df
+
+
 def fx_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
     key, m = F.col("o_orderkey"), (F.col("o_custkey") % 7).cast("string")
     org, rep = (F.col("o_custkey") % 5).cast("string"), (F.col("o_custkey") % 25).cast("string")
     first = F.concat(
@@ -83,7 +89,8 @@ COMPLETION_SHAPES = (
 
 
 def _generations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey"))
+    return orders.select(
         F.col("o_orderkey").alias("task_id"), F.explode(F.sequence(F.lit(0), F.lit(GENS - 1))).alias("gen")
     )
 

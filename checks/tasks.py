@@ -49,12 +49,13 @@ def test_transitions(t: Inputs):
 
 
 @query(
-    "SELECT task_id, 0::BIGINT AS part, array_to_string(f2p, '|') AS fail_to_pass, array_to_string(p2p, '|') AS pass_to_pass, "
+    "SELECT task_id, 0::BIGINT AS part, len(f2p) AS n_fail_to_pass, len(p2p) AS n_pass_to_pass, len(f2f) AS n_fail_to_fail, "
+    "len(p2f) AS n_pass_to_fail, array_to_string(f2p, '|') AS fail_to_pass, array_to_string(p2p, '|') AS pass_to_pass, "
     "array_to_string(f2f, '|') AS fail_to_fail, array_to_string(p2f, '|') AS pass_to_fail FROM v_lists"
 )
 def transition_lists(t: Inputs):
     out = K.transition_lists(t.fx_test_results)
-    return out.select("task_id", "part", *[F.array_join(c, "|").alias(c) for c in K.TRANSITIONS])
+    return out.withColumns({c: F.array_join(c, "|") for c in K.TRANSITIONS})
 
 
 @query("SELECT * FROM v_counts WHERE n_fail_to_pass >= 1 AND n_pass_to_pass >= 1")

@@ -12,8 +12,10 @@ from patchloom.functions.text import strip
 FENCED_PATCH = r"(?s)```diff\n(.*?)```"
 BARE_PATCH = r"(?smd)^(?:--- a/|diff --git).*"
 ADDED_IMPORT = r"(?mdU)^\+\s*(?:import|from)\s+(\w+)"
-GLOBAL_ASSIGNMENT = r"(?U)^[A-Z_][A-Z_0-9]*\s*="
-DYNAMIC_CALLS = ("exec(", "eval(", "__import__")
+GLOBAL_LINE = (
+    r"(?U)^\+(?!\+\+)[\s\x1c-\x1f]*"
+    r"(?:[A-Z_][A-Z_0-9]*[\s\x1c-\x1f]*=|exec\(|eval\(|__import__)"
+)
 
 # Fixed value: the first modules an import may name without penalty.
 ALLOWED_MODULES = (
@@ -51,13 +53,5 @@ def imports_ok(patch: Column) -> Column:
 
 def strip_global_lines(patch: Column) -> Column:
     """Drop added lines that assign a global constant or run dynamic code."""
-
-    def keep(line: Column) -> Column:
-        body = strip(F.substr(line, F.lit(2)))
-        added = line.startswith("+") & ~line.startswith("+++")
-        dynamic = F.lit(False)
-        for call in DYNAMIC_CALLS:
-            dynamic = dynamic | body.startswith(call)
-        return ~(added & (body.rlike(GLOBAL_ASSIGNMENT) | dynamic))
-
-    return F.array_join(F.filter(F.split(patch, "\n"), keep), "\n")
+    kept = F.filter(F.split(patch, "\n"), lambda line: ~line.rlike(GLOBAL_LINE))
+    return F.array_join(kept, "\n")

@@ -68,21 +68,22 @@ test_transitions.__test__ = False  # not a pytest case
 def transition_lists(
     results: DataFrame, *, task: str = "task_id", test: str = "test", part_size: int = LIST_PART
 ) -> DataFrame:
-    """Per task, the sorted test names of each transition.
+    """Per task, the sorted test names of each transition, with the task's counts.
 
     A task with more than ``part_size`` tests comes in several rows (``part`` 0, 1, ...),
     each holding a hash share of its tests, so that no list grows with the table. Every
-    other task is one row with part 0.
+    other task is one row with part 0. The counts are those of the whole task.
     """
-    named = with_transition(results).select(task, test, "transition")
-    large = (
-        named.groupBy(task)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > part_size)
-        .select(task, F.ceil(F.col("_n") / part_size).alias("_parts"))
+    counts = test_transitions(results, task)
+    tests = sum((F.col(f"n_{t}") for t in TRANSITIONS), start=F.lit(0))
+    large = counts.where(tests > part_size).select(
+        task,
+        F.ceil(tests / part_size).alias("_parts"),
+        *[F.col(f"n_{t}").alias(f"_n_{t}") for t in TRANSITIONS],
     )
+    named = with_transition(results).select(task, test, "transition")
     share = F.pmod(F.xxhash64(test), F.coalesce("_parts", F.lit(1).cast("bigint")))
-    return (
+    gathered = (
         lookup_join(named, large, [task])
         .withColumn("part", share.cast("bigint"))
         .groupBy(task, "part")
@@ -90,22 +91,32 @@ def transition_lists(
             *[
                 F.sort_array(F.collect_list(F.when(F.col("transition") == t, F.col(test)))).alias(t)
                 for t in TRANSITIONS
-            ]
+            ],
+            *[F.max(f"_n_{t}").alias(f"_n_{t}") for t in TRANSITIONS],
         )
     )
+    whole = {
+        f"n_{t}": F.coalesce(F.col(f"_n_{t}"), F.size(t).cast("bigint")) for t in TRANSITIONS
+    }
+    return gathered.withColumns(whole).drop(*[f"_n_{t}" for t in TRANSITIONS])
 
 
 def valid_tasks(transitions: DataFrame, min_f2p: int = 1, min_p2p: int = 1) -> DataFrame:
-    """Tasks that break enough passing tests and leave enough passing."""
+    """Tasks that break enough passing tests and leave enough passing.
+
+    Takes the counts or the lists of the tasks.
+    """
     return transitions.where(
         (F.col("n_fail_to_pass") >= min_f2p) & (F.col("n_pass_to_pass") >= min_p2p)
     )
 
 
-def task_instances(tasks: DataFrame, results: DataFrame, **options) -> DataFrame:
+def task_instances(
+    tasks: DataFrame, results: DataFrame, *, min_f2p: int = 1, min_p2p: int = 1, **options
+) -> DataFrame:
     """Valid tasks with their FAIL_TO_PASS and PASS_TO_PASS lists."""
-    good = valid_tasks(test_transitions(results)).select("task_id")
-    lists = transition_lists(lookup_join(results, good, ["task_id"], "left_semi"), **options).select(
+    good = valid_tasks(transition_lists(results, **options), min_f2p, min_p2p)
+    lists = good.select(
         "task_id",
         "part",
         F.col("fail_to_pass").alias("FAIL_TO_PASS"),

@@ -43,6 +43,8 @@ def test_lists_of_a_large_task_come_in_parts(spark):
     broken = sorted(t for r in hot for t in r.fail_to_pass)
     assert broken == sorted(f"t{i}" for i in range(900) if i % 2)
     assert all(r.part == 0 for r in parts if r.task_id != 1)
+    assert all(r.n_fail_to_pass == 450 and r.n_pass_to_pass == 450 for r in hot)
+    assert all(r.n_fail_to_pass == len(r.fail_to_pass) for r in parts if r.task_id != 1)
 
 
 def test_task_instances(spark):
