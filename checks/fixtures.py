@@ -7,9 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from patchloom.operators.scans import running
+
 GENS = 4
 
 
@@ -143,10 +145,13 @@ def fx_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    in_trial = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return table(spark, sf_dir, "events").select(
+    one = F.lit(1).cast("bigint")
+    hour = F.date_trunc("hour", "ts")
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    placed = running(events, ["user_id"], ["ts", "event_id"], hour, {"step": ("sum", one)})
+    return placed.select(
         F.col("user_id").alias("trial"),
-        F.row_number().over(in_trial).cast("bigint").alias("step"),
+        "step",
         F.when(F.col("user_id") % 13 != 0, F.col("value")).alias("eval_loss"),
         "ts",
     )
@@ -255,7 +260,7 @@ SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-def with_ctes(sql: str, ctes: dict[str, str]) -> str:
+def with_ctes(sql: str, ctes: dict[str, str], recursive: bool = False) -> str:
     """Prefix ``sql`` with the CTEs it names, in order, and those they name in turn.
 
     ``sql`` may start with a comma and further CTEs of its own.
@@ -268,8 +273,8 @@ def with_ctes(sql: str, ctes: dict[str, str]) -> str:
         if name not in wanted:
             wanted.add(name)
             todo += [n for n in names if n in ctes[name] and n != name]
-    sql = sql.strip()
+    sql, start = sql.strip(), "WITH RECURSIVE" if recursive else "WITH"
     if not wanted:
-        return f"WITH {sql[1:]}" if sql.startswith(",") else sql
+        return f"{start} {sql[1:]}" if sql.startswith(",") else sql
     head = ",\n".join(f"{n} AS ({ctes[n].strip()})" for n in names if n in wanted)
-    return f"WITH {head}\n{sql}"
+    return f"{start} {head}\n{sql}"

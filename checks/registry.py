@@ -31,18 +31,18 @@ def view(name: str, sql: str) -> None:
     SQL_VIEWS[name] = sql
 
 
-def query(sql: str | None = None, name: str | None = None):
+def query(sql: str | None = None, *, recursive: bool = False):
     """Register ``fn(inputs) -> DataFrame`` with its SQL twin."""
 
     def add(fn):
-        key = name or fn.__name__
+        key = fn.__name__
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return fn(Inputs(tune(spark), sf_dir))
 
         QUERIES[key] = run
         if sql is not None:
-            SQL[key] = with_ctes(sql, SQL_VIEWS)
+            SQL[key] = with_ctes(sql, SQL_VIEWS, recursive)
         return fn
 
     return add

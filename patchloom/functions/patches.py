@@ -7,15 +7,13 @@ from pyspark.sql import functions as F
 
 from patchloom.functions.text import strip
 
-# The shapes of a patch in model output. (?d) makes "\n" the only
-# line end, as in the definition of the operators.
+# The shapes of a patch in model output. (?d) makes "\n" the only line
+# end; (?U) with SPACE makes white space and word characters those of Python.
 FENCED_PATCH = r"(?s)```diff\n(.*?)```"
 BARE_PATCH = r"(?smd)^(?:--- a/|diff --git).*"
-ADDED_IMPORT = r"(?mdU)^\+\s*(?:import|from)\s+(\w+)"
-GLOBAL_LINE = (
-    r"(?U)^\+(?!\+\+)[\s\x1c-\x1f]*"
-    r"(?:[A-Z_][A-Z_0-9]*[\s\x1c-\x1f]*=|exec\(|eval\(|__import__)"
-)
+SPACE = r"[\s\x1c-\x1f]"
+ADDED_IMPORT = rf"(?mdU)^\+{SPACE}*(?:import|from){SPACE}+(\w+)"
+GLOBAL_LINE = rf"(?U)^\+(?!\+\+){SPACE}*(?:[A-Z_][A-Z_0-9]*{SPACE}*=|exec\(|eval\(|__import__)"
 
 # Fixed value: the first modules an import may name without penalty.
 ALLOWED_MODULES = (

@@ -77,8 +77,8 @@ def _combine(fn: str, carry: Column, local: Column) -> Column:
 def running(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[str],
-    block: Column,
+    order: Sequence[str | Column],
+    block: Column | str,
     values: Mapping[str, tuple[str, Column]],
     *,
     inclusive: bool = True,
@@ -87,30 +87,33 @@ def running(
 
     ``values`` maps a new column to (function, input). ``block`` must grow with
     ``order`` (never falls), e.g. ``floor(step / 4096)`` or an hour of a timestamp; it
-    bounds how many rows one task sorts, and does not change the result. With
+    bounds how many rows one task sorts, and does not change the result. A block given as
+    a column name is kept, so that a second scan over it needs no second shuffle. With
     ``inclusive=False`` the current row is left out.
     """
-    keys = list(keys)
-    blocked = df.withColumn("_blk", block)
-    totals = blocked.groupBy(*keys, "_blk").agg(
+    keys, kept = list(keys), isinstance(block, str)
+    blk = block if kept else "_blk"
+    blocked = df if kept else df.withColumn(blk, block)
+    totals = blocked.groupBy(*keys, blk).agg(
         *[_fold(fn, col).alias(name) for name, (fn, col) in values.items()]
     )
-    before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(
         *keys,
-        "_blk",
+        blk,
         *[_fold(fn, F.col(name)).over(before).alias(f"_c_{name}") for name, (fn, _) in values.items()],
     )
     local = (
-        Window.partitionBy(*keys, "_blk")
+        Window.partitionBy(*keys, blk)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     )
     scanned = blocked.withColumns({f"_l_{n}": _fold(fn, col).over(local) for n, (fn, col) in values.items()})
-    out = scanned.join(carry, [*keys, "_blk"], "left").withColumns(
+    out = scanned.join(carry, [*keys, blk], "left").withColumns(
         {n: _combine(fn, F.col(f"_c_{n}"), F.col(f"_l_{n}")) for n, (fn, _) in values.items()}
     )
-    return out.drop("_blk", *[f"_c_{n}" for n in values], *[f"_l_{n}" for n in values])
+    helpers = [f"_{side}_{n}" for side in "cl" for n in values]
+    return out.drop(*helpers) if kept else out.drop(blk, *helpers)
 
 
 def exact_median(

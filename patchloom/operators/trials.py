@@ -85,18 +85,18 @@ def early_stop(
     the first finite loss always does. A failed evaluation does not improve. Runs that
     never stop are not listed.
     """
-    slim = metrics.select(run, step, finite(F.col(loss)).alias("_loss"))
+    slim = metrics.select(
+        run, step, finite(F.col(loss)).alias("_loss"), _by_steps(step).alias("_block")
+    )
     one = F.lit(1).cast("bigint")
-    seen = running(
-        slim, [run], [step], _by_steps(step),
-        {"_best": ("min", F.col("_loss")), "_before": ("sum", one)}, inclusive=False,
-    )
+    so_far = {"_best": ("min", F.col("_loss")), "_before": ("sum", one)}
+    seen = running(slim, [run], [step], "_block", so_far, inclusive=False)
     better = F.col("_loss").isNotNull() & (
         F.col("_best").isNull() | (F.col("_loss") < F.col("_best") - F.lit(float(threshold)))
     )
     at = F.col("_before") + 1
-    marked = seen.select(run, step, at.alias("_at"), F.when(better, at).alias("_hit"))
-    waited = running(marked, [run], [step], _by_steps(step), {"_last": ("max", F.col("_hit"))})
+    marked = seen.select(run, step, "_block", at.alias("_at"), F.when(better, at).alias("_hit"))
+    waited = running(marked, [run], [step], "_block", {"_last": ("max", F.col("_hit"))})
     idle = F.col("_at") - F.coalesce("_last", F.lit(0))
     return waited.where(idle >= patience).groupBy(run).agg(F.min(step).alias("stop_step"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from patchloom.operators.scans import running
 from patchloom.operators.scoring import score
 
 
@@ -58,13 +59,27 @@ def dedupe_results(results: DataFrame, key: Sequence[str], *, ts: str = "ts", de
 def idle_sessions(
     events: DataFrame, by: Sequence[str], *, ts: str = "ts", gap: str = "30 minutes", delay: str = "1 hour"
 ) -> DataFrame:
-    """Agent sessions: a pause longer than ``gap`` ends one."""
+    """Agent sessions: a pause longer than ``gap`` ends one.
+
+    A stream keeps one state per open session. A table is numbered block by block instead
+    of sorted per agent, so an agent with most of the events is no hot spot.
+    """
     timed = event_time(events, ts, delay)
-    return (
-        timed.groupBy(*by, F.session_window(ts, gap).alias("_s"))
-        .agg(F.count("*").alias("events"), F.min(ts).alias("first_event"), F.max(ts).alias("last_event"))
-        .drop("_s")
+    if events.isStreaming:
+        groups = timed.groupBy(*by, F.session_window(ts, gap).alias("_session"))
+    else:
+        block = F.unix_seconds(F.date_trunc("hour", ts))
+        rows = timed.select(*by, ts, block.alias("_block"))
+        seen = running(rows, by, [ts], "_block", {"_last": ("max", F.col(ts))}, inclusive=False)
+        paused = F.col("_last").isNull() | (F.col(ts) > F.col("_last") + F.expr(f"INTERVAL {gap}"))
+        starts = seen.withColumn("_start", F.when(paused, 1).otherwise(0)).drop("_last")
+        order = [ts, F.col("_start").desc()]  # of two events at one time, the start goes first
+        numbered = running(starts, by, order, "_block", {"_session": ("sum", F.col("_start"))})
+        groups = numbered.groupBy(*by, "_session")
+    counts = groups.agg(
+        F.count("*").alias("events"), F.min(ts).alias("first_event"), F.max(ts).alias("last_event")
     )
+    return counts.drop("_session")
 
 
 def live_early_stop(

@@ -9,8 +9,6 @@ from checks import compare
 
 QUERIES = entry_point.queries()
 SQL = entry_point.oracle_sql()
-# Next-fit packing has no sensible SQL form; tests/test_chats.py checks it by brute force.
-WITHOUT_SQL = {"pack_greedy"}
 
 
 @pytest.fixture(scope="module")
@@ -19,19 +17,17 @@ def con(small):
 
 
 def test_every_query_has_its_sql():
-    assert set(QUERIES) - set(SQL) == WITHOUT_SQL
-    assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) == set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, small, con, name):
     df = QUERIES[name](spark, small)
     ours = df.toPandas()
-    if name in SQL:
-        rel = con.sql(SQL[name])
-        assert compare.difference(ours, rel.df()) is None
-        kinds = dict(zip(rel.columns, map(str, rel.types)))
-        assert {c: compare.SAME_KIND.get(k) for c, k in compare.spark_kinds(df).items()} == kinds
+    rel = con.sql(SQL[name])
+    assert compare.difference(ours, rel.df()) is None
+    kinds = dict(zip(rel.columns, map(str, rel.types)))
+    assert {c: compare.SAME_KIND.get(k) for c, k in compare.spark_kinds(df).items()} == kinds
 
 
 def test_entry(spark, small):

@@ -80,7 +80,7 @@ def test_a_hot_trial_is_worked_on_in_blocks(skewed, monkeypatch):
     plan = plan_of(D.early_stop(rows, 100))
     # every window over rows is partitioned by trial and block
     windows = [line for line in plan.splitlines() if "windowspecdefinition" in line and "_loss" in line]
-    assert windows and all("_blk" in line for line in windows)
+    assert windows and all("_block" in line for line in windows)
 
 
 def test_one_long_conversation(skewed):

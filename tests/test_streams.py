@@ -109,22 +109,30 @@ def test_dedupe(spark, tmp_path):
 
 def test_idle_sessions(spark, tmp_path):
     df = events(spark, 120)
-    table = live.idle_sessions(df, ["who"], gap="40 minutes")
+    table = live.idle_sessions(df, ["who"], gap="47 minutes")
     want, open_ = [], {}
     for r in df.orderBy("ts").collect():
         s = open_.get(r.who)
-        if s and r.ts - s[2] <= timedelta(minutes=40):
+        if s and r.ts - s[2] <= timedelta(minutes=47):
             s[1], s[2] = s[1] + 1, r.ts
         else:
             open_[r.who] = s = [r.ts, 1, r.ts]
             want.append((r.who, s))
     want = sorted((w, s[1], s[0], s[2]) for w, s in want)
+    ts = {w: [r.ts for r in df.orderBy("ts").collect() if r.who == w] for w in range(3)}
+    assert any(b - a == timedelta(minutes=47) for t in ts.values() for a, b in zip(t, t[1:]))
     assert tuples(table, "who", "events", "first_event", "last_event") == want
-    got = run(live.idle_sessions(as_stream(spark, tmp_path, df, 4), ["who"], gap="40 minutes"), "sessions")
+    got = run(live.idle_sessions(as_stream(spark, tmp_path, df, 4), ["who"], gap="47 minutes"), "sessions")
     closed = tuples(got, "who", "events", "first_event", "last_event")
     assert set(closed) <= set(want) and len(want) - len(closed) <= 6
 
 
+def test_sessions_of_events_at_the_same_time(spark):
+    at = [BASE, BASE, BASE + timedelta(hours=3), BASE + timedelta(hours=3), BASE + timedelta(hours=3, minutes=1)]
+    df = spark.createDataFrame([(1, t) for t in at], "who int, ts timestamp").repartition(3)
+    assert tuples(live.idle_sessions(df, ["who"]), "events") == [(2,), (3,)]
+
+
 def test_checkpoint_location(spark):
     assert live.checkpoint_location(spark, "x").endswith("/x")
 
