@@ -178,10 +178,16 @@ def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     no result and costs one more shuffle of the small side.
     """
     on = list(on)
-    mark = F.xxhash64(*on)
-    joined = left.withColumn("_key_hash", mark).join(
-        right.withColumn("_key_hash", mark), ["_key_hash", *on], how
-    )
+
+    def marked(df: DataFrame, other: DataFrame) -> DataFrame:
+        keys = []
+        for k in on:
+            mine, theirs = df.schema[k].dataType, other.schema[k].dataType
+            # equal values of different types (1 as int and as bigint) must hash alike
+            keys.append(F.col(k) if mine == theirs else F.coalesce(k, F.lit(None).cast(theirs)))
+        return df.withColumn("_key_hash", F.xxhash64(*keys))
+
+    joined = marked(left, right).join(marked(right, left), ["_key_hash", *on], how)
     return joined.drop("_key_hash")
 
 

@@ -7,7 +7,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from patchloom.operators.scans import dense_index, exact_median, fits_broadcast, running, seeded_rank
+from patchloom.operators.scans import dense_index, exact_median, fits_broadcast, lookup_join, running, seeded_rank
 from tests.helpers import plan_of
 
 
@@ -93,3 +93,12 @@ def test_broadcast_only_when_small(spark):
         assert "BroadcastHashJoin" not in plan_of(large)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("left_type, right_type", [("int", "bigint"), ("bigint", "int"), ("bigint", "bigint"), ("string", "string")])
+def test_lookup_join_types(spark, left_type, right_type):
+    left = spark.range(10).select(F.col("id").cast(left_type).alias("k"))
+    right = spark.range(5, 15).select(F.col("id").cast(right_type).alias("k"), F.lit(1).alias("v"))
+    assert lookup_join(left, right, ["k"], "inner").count() == 5
+    assert lookup_join(left, right, ["k"]).where("v is null").count() == 5
+    assert lookup_join(left, right, ["k"], "left_anti").columns == ["k"]
