@@ -14,17 +14,45 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# For the live operators: state kept outside the heap, and sessions merged before the
+# shuffle so that one busy agent sends sessions and not events.
+STREAM_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+}
+
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions(shuffled_bytes: int, cores: int) -> int:
+    """Partitions of about 128 MB, and at least two per core.
+
+    Set this high rather than low: adaptive execution joins small partitions but cannot
+    cut a partition that is too large for its executor before it has been written.
+    """
+    return max(2 * cores, -(-shuffled_bytes // PARTITION_BYTES))
+
 
 def build_session(
-    app: str, master: str | None = "local[8]", shuffle_partitions: int | None = 8, **extra: str
+    app: str, master: str | None = "local[8]", partitions: int | None = 8, **extra: str
 ) -> SparkSession:
-    """A session for local runs; on a cluster pass ``master=None`` and the cluster's sizes."""
+    """A session for local runs.
+
+    On a cluster pass ``master=None`` and ``partitions=shuffle_partitions(...)``.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
-        builder = builder.master(master).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        builder = builder.config("spark.driver.memory", "12g")
-    if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        local = {
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": "12g",
+        }
+        builder = builder.master(master)
+        extra = {**local, **extra}
+    if partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

@@ -11,11 +11,12 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from patchloom.session import build_session
+    from patchloom.session import STREAM_SETTINGS, build_session
 
     # tests have no cluster to name a shared folder, so they set their own
     folder = str(tmp_path_factory.mktemp("checkpoints"))
-    session = build_session("tests", master="local[*]", **{"spark.checkpoint.dir": folder})
+    settings = {"spark.checkpoint.dir": folder, **STREAM_SETTINGS}
+    session = build_session("tests", master="local[*]", **settings)
     yield session
     session.stop()
 
