@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("scoring", "tasks", "chats", "trials", "flows")
+MODULES = ("scoring", "tasks", "chats", "trials", "flows", "files")
 
 
 def load() -> None:

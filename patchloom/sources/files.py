@@ -63,11 +63,15 @@ def read_chat_jsonl(spark: SparkSession, path: str, layout: str = "messages") ->
     return rows.select("*", F.col("_metadata.file_path").alias("file"))
 
 
-def read_tasks(spark: SparkSession, path: str) -> DataFrame:
+def read_tasks(spark: SparkSession, path: str, *, lines_only: bool = False) -> DataFrame:
     """Task instances from JSON lines, JSON lists and JSON objects keyed by id.
 
-    ``path`` is a file or a directory; ``*.jsonl`` and ``*.json`` are read.
+    ``path`` is a file or a directory; ``*.jsonl`` holds lines and ``*.json`` one list or
+    object. With ``lines_only`` every file is read as lines, whatever its name, as for the
+    output of a Spark job.
     """
+    if lines_only:
+        return _json_lines(spark, path, TASK_SCHEMA, "*")
     lines = _json_lines(spark, path, TASK_SCHEMA, "*.jsonl")
     documents = _json_documents(spark, path, TASK_SCHEMA, "*.json").drop("file_path")
     return lines.unionByName(documents)

@@ -50,6 +50,8 @@ def test_tasks_in_all_three_forms(spark, tmp_path):
     assert all(r.FAIL_TO_PASS == ["t1", "t2"] and r.problem_statement is None for r in rows)
     assert S.read_tasks(spark, str(tmp_path / "c.json")).count() == 2
     assert S.read_tasks(spark, str(tmp_path / "a.jsonl")).count() == 2
+    spark.read.json(str(tmp_path / "a.jsonl")).write.json(str(tmp_path / "out"))
+    assert S.read_tasks(spark, str(tmp_path / "out"), lines_only=True).count() == 2
     write(tmp_path / "d.json", "[{]")
     with pytest.raises(Exception):
         S.read_tasks(spark, str(tmp_path)).collect()
