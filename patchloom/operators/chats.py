@@ -136,10 +136,14 @@ def select_failed(traj: DataFrame, reports: DataFrame, on: str = "conv_id") -> D
     return lookup_join(traj, reports.where("resolved").select(on).distinct(), [on], "left_anti")
 
 
+def answered_ids(turns: DataFrame, *, conv: str = "conv_id", role: str = "role") -> DataFrame:
+    """Ids of conversations with at least one assistant turn."""
+    return turns.where(F.col(role) == RESPONSE_ROLE).select(conv).distinct()
+
+
 def answered(turns: DataFrame, *, conv: str = "conv_id", role: str = "role") -> DataFrame:
     """Conversations with at least one assistant turn."""
-    replied = turns.where(F.col(role) == RESPONSE_ROLE).select(conv).distinct()
-    return lookup_join(turns, replied, [conv], "left_semi")
+    return lookup_join(turns, answered_ids(turns, conv=conv, role=role), [conv], "left_semi")
 
 
 def quality_filter(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from patchloom.functions.chat import render_actions
 from patchloom.functions.prompts import fill_problem_statement, render_repair_prompt
 from patchloom.functions.text import est_tokens
-from patchloom.operators.chats import answered, quality_filter, render_chat, select_resolved
+from patchloom.operators.chats import answered_ids, quality_filter, render_chat, select_resolved
+from patchloom.operators.scans import lookup_join
 from patchloom.operators.scoring import group_advantage, score
 from patchloom.operators.splits import split_exact, split_fraction
 from patchloom.operators.tasks import task_instances
@@ -38,7 +39,9 @@ def chat_training_set(
     conversation decides by its own hash whether it is held out; ``exact_share`` draws the
     exact number, ranking ids alone and joining the mark back to the texts.
     """
-    good = answered(select_resolved(turns, reports, conv), conv=conv)
+    # both conditions are settled on ids, so that the turns move once
+    wanted = select_resolved(answered_ids(turns, conv=conv), reports, conv)
+    good = lookup_join(turns, wanted, [conv], "left_semi")
     text = render_chat(render_actions(good, style), conv=conv)
     text = quality_filter(text, rules or {}).withColumn("est_tokens", est_tokens(F.col("text")))
     text = text.withColumn("over_limit", F.col("est_tokens") > max_tokens)
