@@ -39,7 +39,7 @@ def map_examples(df: DataFrame, fn: Callable[[dict], dict], schema: str | T.Stru
 
     ``schema`` lists the output columns, kept or new.
     """
-    out = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    out = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(out)

@@ -54,7 +54,7 @@ def _json_documents(spark: SparkSession, path: str, schema: str, glob: str, **op
 
 
 def _struct(schema: str) -> str:
-    return ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in T._parse_datatype_string(schema))
+    return ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in T.StructType.fromDDL(schema))
 
 
 def read_chat_jsonl(spark: SparkSession, path: str, layout: str = "messages") -> DataFrame:

@@ -20,7 +20,11 @@ def event_time(df: DataFrame, ts: str, delay: str) -> DataFrame:
 
 
 def score_stream(completions: DataFrame, outcomes: DataFrame, mode: str = "hybrid", **options) -> DataFrame:
-    """Score arriving completions against a table of harness logs."""
+    """Score arriving completions against a table of harness logs.
+
+    The table is read for every trigger, so give the logs of the tasks in flight, not the
+    whole archive.
+    """
     return score(completions, outcomes, mode, **options)
 
 
