@@ -75,11 +75,8 @@ def group_scores(t: Inputs):
 SELECT task_id, split, problem_statement FROM picked JOIN v_filled USING (task_id)"""
 )
 def skill_split(t: Inputs):
-    from patchloom.operators.tasks import transition_lists
-
-    lists = transition_lists(t.fx_test_results).select("task_id", F.col("fail_to_pass").alias("FAIL_TO_PASS"))
-    tasks = t.fx_tasks.join(lists, "task_id", "left")
-    return flows.skill_split(tasks, ["task_id"]).select("task_id", "split", "problem_statement")
+    split = flows.skill_split(t.fx_tasks, ["task_id"], t.fx_test_results)
+    return split.select("task_id", "split", "problem_statement")
 
 
 @query(

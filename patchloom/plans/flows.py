@@ -14,7 +14,7 @@ from patchloom.operators.chats import answered_ids, quality_filter, render_chat,
 from patchloom.operators.scans import lookup_join
 from patchloom.operators.scoring import group_advantage, score
 from patchloom.operators.splits import split_exact, split_fraction
-from patchloom.operators.tasks import task_instances
+from patchloom.operators.tasks import task_instances, transition_lists
 
 
 def synthesized_tasks(candidates: DataFrame, results: DataFrame, **options) -> DataFrame:
@@ -70,12 +70,21 @@ def repair_prompts(tasks: DataFrame) -> DataFrame:
     return render_repair_prompt(tasks).select("task_id", "prompt")
 
 
-def skill_split(tasks: DataFrame, key: Sequence[str], **sizes) -> DataFrame:
+def skill_split(
+    tasks: DataFrame, key: Sequence[str], results: DataFrame | None = None, **sizes
+) -> DataFrame:
     """Tasks with statements, cut into train, val and test.
 
-    The split is drawn first, so statements are written only for the rows it takes.
+    The split is drawn first, so test lists (from ``results``, for tasks that carry none)
+    and statements are made only for the rows it takes.
     """
-    return fill_problem_statement(split_exact(tasks, key, **sizes))
+    picked = split_exact(tasks, key, **sizes)
+    if results is not None:
+        wanted = picked.select("task_id").distinct()
+        lists = transition_lists(lookup_join(results, wanted, ["task_id"], "left_semi"))
+        named = lists.select("task_id", F.col("fail_to_pass").alias("FAIL_TO_PASS"))
+        picked = picked.join(named, "task_id", "left")
+    return fill_problem_statement(picked)
 
 
 def materialize(df: DataFrame) -> DataFrame:
