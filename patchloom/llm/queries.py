@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchloom.llm import chatformat, decontaminate, mainpage, merkle, packing, personal, quality, substrings
+from patchloom.llm import chatformat, decontaminate, mainpage, merkle, neardup, packing, personal, quality, substrings
 from patchloom.llm.common import prepared, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,8 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @query
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedupe_substrings(table(prepared(spark), sf_dir, "documents"))
+
+
+@query
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(prepared(spark), sf_dir, "documents"))
