@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -213,3 +214,8 @@ def unpack(packed: bytes) -> str:
     import zstandard
 
     return zstandard.ZstdDecompressor().decompress(packed).decode()
+
+
+def text_keys(texts: pa.Array) -> np.ndarray:
+    """A 31-bit checksum of each text: tells rows apart that share an id."""
+    return np.array([zlib.crc32((t or "").encode()) >> 1 for t in texts.to_pylist()], dtype=np.int64)

@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from patchloom.llm.common import min_label, mix, pack, prepared, slices, unpack, written
-from patchloom.llm.substrings import _text_key
+from patchloom.llm.common import min_label, mix, pack, prepared, slices, text_keys, unpack, written
 from patchloom.operators.scans import lookup_join
 
 SHINGLE = 8  # UTF-8 bytes of the normalised line
@@ -127,7 +126,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
                         hashes.append(line_hash(plain))
                         nth.append(i)
             doc = pa.array(owner, pa.int64())
-            keys = pa.array(_text_key(batch.column("text"))).take(doc)
+            keys = pa.array(text_keys(batch.column("text"))).take(doc)
             yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), batch.column("doc_id").take(doc), keys, pa.array(nth, pa.int32())], ["line", "doc_id", "key", "nth"])
 
     ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
@@ -146,15 +145,26 @@ def _pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(lines, pa.binary())], ["line", "words"])
 
 
+def shingle_set(line: bytes) -> frozenset[bytes]:
+    return frozenset(line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1)))
+
+
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs with both lines to those that are similar enough on their full sets."""
     for batch in batches:
-        keep = []
-        for x, y in zip(batch.column("words").to_pylist(), batch.column("words_b").to_pylist()):
-            (a, _), (b, _) = shingles([x]), shingles([y])
-            a, b = np.unique(a), np.unique(b)
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            keep.append(100 * both >= PERCENT * (len(a) + len(b) - both))
+        keep, sets = [], {}  # many pairs of a batch have one line in common
+        for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "words", "words_b"))):
+            if a not in sets:
+                sets[a] = shingle_set(x)
+            if b not in sets:
+                sets[b] = shingle_set(y)
+            both, every = sets[a], sets[b]
+            few, many = sorted((len(both), len(every)))
+            if 100 * few < PERCENT * many:
+                keep.append(False)
+                continue
+            shared = len(both & every)
+            keep.append(100 * shared >= PERCENT * (few + many - shared))
         good = batch.filter(pa.array(keep, pa.bool_()))
         yield pa.RecordBatch.from_arrays([good.column("a"), good.column("b")], ["a", "b"])
 
@@ -170,7 +180,7 @@ def _packed(docs: DataFrame) -> DataFrame:
             # null stays null
             packed = pa.array([None if t is None else pack(t) for t in texts.to_pylist()], pa.binary())
             names = [f.name for f in fields]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(_text_key(texts)), packed], [*names, "_key", "packed"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(text_keys(texts)), packed], [*names, "_key", "packed"])
 
     return docs.mapInArrow(run, schema)
 
@@ -211,7 +221,7 @@ def dedupe_lines(docs: DataFrame) -> DataFrame:
     """
     prepared(docs.sparkSession)
     docs = docs.drop("n_lines", "n_removed")
-    occurrences = _occurrences(docs)
+    occurrences = written(_occurrences(docs), "line-occurrences")
     places, labels = line_components(docs, occurrences)
     known = lookup_join(places, labels, ["line"], "left").withColumn("label", F.coalesce("label", "line"))
     keepers = known.groupBy("label").agg(F.min("place").alias("keeper"), F.sum("n").alias("all"))

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patchloom.llm.common import pack, prepared, range_hash, slices, unpack, words_of, written
+from patchloom.llm.common import pack, prepared, range_hash, slices, text_keys, unpack, words_of, written
 from patchloom.operators.scans import lookup_join
 
 WINDOW = 50  # words
@@ -57,12 +57,6 @@ def super_kmers(texts: pa.Array) -> tuple[np.ndarray, ...]:
     return low[begin].view(np.int64), run.view(np.int64), doc[begin], start - words.first[doc[begin]], count
 
 
-def _text_key(texts: pa.Array) -> np.ndarray:
-    """A 31-bit hash of each text: tells rows apart that share an id."""
-    words = words_of(texts)
-    return (range_hash(words.hash, words.first[:-1], words.first[1:], 0x8EBC6AF09C88C6E3) >> np.uint64(33)).astype(np.int64)
-
-
 def _occurrences(docs: DataFrame) -> DataFrame:
     """Rows mini, run, doc_id, place (text key and first window in one number), n."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -70,7 +64,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             mini, whole, doc, start, n = super_kmers(batch.column("text"))
-            place = _text_key(batch.column("text"))[doc] << 32 | start
+            place = text_keys(batch.column("text"))[doc] << 32 | start
             columns = [pa.array(mini), pa.array(whole), batch.column("doc_id").take(pa.array(doc)), pa.array(place), pa.array(n.astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, ["mini", "run", "doc_id", "place", "n"])
 
@@ -86,7 +80,7 @@ def _packed_texts(docs: DataFrame) -> DataFrame:
         for batch in slices(batches, "text"):
             texts = batch.column("text")
             packed = pa.array([pack(t) for t in texts.to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_text_key(texts)), packed], ["doc_id", "key", "packed"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(text_keys(texts)), packed], ["doc_id", "key", "packed"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, key long, packed binary")
 
