@@ -20,6 +20,7 @@ PERCENT = 80
 # Ten bands of three: a pair at the threshold meets in one of them with probability 0.999.
 BANDS, ROWS = 10, 3
 BINS = BANDS * ROWS
+KEY, PACKED, GONE = "__patchloom_key", "__patchloom_packed", "__patchloom_gone"
 SEEN = 1_000_000  # line hashes a task remembers, to send a repeated line's keys once
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -135,9 +136,9 @@ def _occurrences(docs: DataFrame) -> DataFrame:
 
 def _pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts with wanted line numbers to rows (line, words): the normalised lines."""
-    for batch in slices(batches, "packed"):
+    for batch in slices(batches, PACKED):
         hashes, lines = [], []
-        for packed, wanted in zip(batch.column("packed").to_pylist(), batch.column("wanted").to_pylist()):
+        for packed, wanted in zip(batch.column(PACKED).to_pylist(), batch.column("wanted").to_pylist()):
             own = unpack(packed).split("\n")
             for w in wanted:
                 hashes.append(w["line"])
@@ -172,7 +173,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _packed(docs: DataFrame) -> DataFrame:
     """``docs`` with the text packed for a shuffle, and ``_key`` of the text."""
     fields = [f for f in docs.schema.fields if f.name != "text"]
-    schema = StructType([*fields]).add("_key", "long").add("packed", "binary")
+    schema = StructType([*fields]).add(KEY, "long").add(PACKED, "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -180,7 +181,7 @@ def _packed(docs: DataFrame) -> DataFrame:
             # null stays null
             packed = pa.array([None if t is None else pack(t) for t in texts.to_pylist()], pa.binary())
             names = [f.name for f in fields]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(text_keys(texts)), packed], [*names, "_key", "packed"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(text_keys(texts)), packed], [*names, KEY, PACKED])
 
     return docs.mapInArrow(run, schema)
 
@@ -194,9 +195,9 @@ def line_components(docs: DataFrame, occurrences: DataFrame) -> tuple[DataFrame,
     places = written(places, "line-places")
     nodes = pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct()
     wanted = lookup_join(places, nodes, ["line"], "left_semi").select("line", "place.*")
-    wanted = wanted.groupBy("doc_id", F.col("key").alias("_key")).agg(F.collect_list(F.struct("line", "nth")).alias("wanted"))
+    wanted = wanted.groupBy("doc_id", F.col("key").alias(KEY)).agg(F.collect_list(F.struct("line", "nth")).alias("wanted"))
     ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
-    texts = _packed(ids).join(wanted, ["doc_id", "_key"]).mapInArrow(_pick, "line long, words binary")
+    texts = _packed(ids).join(wanted, ["doc_id", KEY]).mapInArrow(_pick, "line long, words binary")
     texts = written(texts.dropDuplicates(["line"]), "lines")
     both = lookup_join(pairs.withColumn("line", F.col("a")), texts, ["line"], "inner").drop("line")
     both = lookup_join(both.withColumn("line", F.col("b")), texts.withColumnRenamed("words", "words_b"), ["line"], "inner").drop("line")
@@ -210,7 +211,7 @@ def dedupe_lines(docs: DataFrame) -> DataFrame:
     Lines are compared in lower case (A-Z) with white space joined. Equal lines, and lines
     whose sets of character shingles are 80 % alike, are linked; of every component of links
     the line with the smallest (doc_id, place) stays, all others go, in whatever document.
-    A column ``n_chars``, if there is one, is brought up to date for changed texts.
+    Column names that begin with ``__patchloom`` are taken. A column ``n_chars``, if there is one, is brought up to date for changed texts.
 
     Blank lines stay where they are and count for nothing. Null text: null, with no lines.
     Null ids: such rows are left as they are and are nobody's first line. Identical rows keep
@@ -228,15 +229,15 @@ def dedupe_lines(docs: DataFrame) -> DataFrame:
     repeated = lookup_join(known.select("line", "label"), keepers.where(F.col("all") > 1), ["label"], "inner")
     met = lookup_join(occurrences, repeated.select("line", "keeper"), ["line"], "inner")
     gone = met.where(F.struct("doc_id", "key", "nth") != F.col("keeper"))
-    gone = gone.groupBy("doc_id", F.col("key").alias("_key")).agg(F.collect_set("nth").alias("_gone"))
-    whole = _packed(docs).join(gone, ["doc_id", "_key"], "left")
+    gone = gone.groupBy("doc_id", F.col("key").alias(KEY)).agg(F.collect_set("nth").alias(GONE))
+    whole = _packed(docs).join(gone, ["doc_id", KEY], "left")
     fields = docs.schema.fields
     schema = StructType([StructField(f.name, f.dataType) for f in fields]).add("n_lines", "long").add("n_removed", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "packed"):
+        for batch in slices(batches, PACKED):
             texts, n_lines, n_removed = [], [], []
-            for packed, nths in zip(batch.column("packed").to_pylist(), batch.column("_gone").to_pylist()):
+            for packed, nths in zip(batch.column(PACKED).to_pylist(), batch.column(GONE).to_pylist()):
                 text = None if packed is None else unpack(packed)
                 lines = (text or "").split("\n")
                 n_lines.append(sum(1 for x in lines if x and not x.isspace()))

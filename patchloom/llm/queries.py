@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchloom.llm import chatformat, decontaminate, lines, mainpage, merkle, neardup, packing, personal, quality, substrings
+from patchloom.llm import chatformat, decontaminate, lines, mainpage, merkle, neardup, packing, personal, quality, substrings, twins
 from patchloom.llm.common import prepared, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,8 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedupe_lines(table(prepared(spark), sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"), F.length("text").cast("long").alias("kept_chars"))
+
+
+SQL["op1_substring_dedup"] = twins.SUBSTRINGS
+SQL["op7_chat_formatting"] = twins.CHATS
+SQL["op8_minhash_near_dedup"] = twins.NEAR_DUPLICATES
