@@ -7,8 +7,8 @@ import pytest
 import __spark_entry__ as entry_point
 from checks import compare
 
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+entry_point.checks.load()
+QUERIES, SQL = dict(entry_point.QUERIES), dict(entry_point.SQL)
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +18,7 @@ def con(small):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(SQL) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
