@@ -46,7 +46,7 @@ def sft_files(t: Inputs):
 def task_files(t: Inputs):
     folder = fresh_folder(t.spark, "tasks")
     tasks = task_instances(t.fx_tasks, t.fx_test_results)
-    tasks.drop("task_id", "func_id", "strategy", "part").write.json(folder)
+    tasks.drop("task_id", "func_id", "strategy").write.json(folder)
     return files.read_tasks(t.spark, folder, lines_only=True).select(
         "instance_id",
         "repo",
@@ -65,5 +65,5 @@ def corpus_files(t: Inputs):
     folder = fresh_folder(t.spark, "corpus")
     t.fx_corpus.select("body").write.text(folder)
     # a low limit for whole files, so that paragraphs are put together across splits
-    texts = files.read_corpus(t.spark, folder, whole_file_bytes=100_000)
+    texts = files.read_corpus(t.spark, folder)
     return texts.groupBy("text").agg(F.count("*").alias("n"))

@@ -37,7 +37,7 @@ FROM good"""
 def chat_training_set(t: Inputs):
     return flows.chat_training_set(
         t.conversations, t.fx_reports, max_tokens=500, eval_share=0.15
-    ).drop("part")
+    )
 
 
 @query(

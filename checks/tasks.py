@@ -49,7 +49,7 @@ def test_transitions(t: Inputs):
 
 
 @query(
-    "SELECT task_id, 0::BIGINT AS part, len(f2p) AS n_fail_to_pass, len(p2p) AS n_pass_to_pass, len(f2f) AS n_fail_to_fail, "
+    "SELECT task_id, len(f2p) AS n_fail_to_pass, len(p2p) AS n_pass_to_pass, len(f2f) AS n_fail_to_fail, "
     "len(p2f) AS n_pass_to_fail, array_to_string(f2p, '|') AS fail_to_pass, array_to_string(p2p, '|') AS pass_to_pass, "
     "array_to_string(f2f, '|') AS fail_to_fail, array_to_string(p2f, '|') AS pass_to_fail FROM v_lists"
 )

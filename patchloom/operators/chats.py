@@ -13,8 +13,8 @@ from patchloom.operators.scans import lookup_join, running
 # Agent step cap; data set size classes and the least useful size.
 STEP_CAP = 25
 SMALL_BELOW, LARGE_ABOVE, MINIMUM = 300, 999, 100
-# Turns gathered into one row; longer conversations come in several parts.
-PART_TURNS = 4096
+# Turns that one window sums up; more are added up block by block.
+BLOCK_TURNS = 4096
 
 
 def collect_turns(
@@ -24,20 +24,15 @@ def collect_turns(
     *,
     conv: str = "conv_id",
     turn: str = "turn",
-    part_turns: int = PART_TURNS,
 ) -> DataFrame:
-    """Gather an item per turn into one ordered array per conversation.
+    """Gather an item per turn into one ordered array per conversation, whatever its length.
 
-    A conversation longer than ``part_turns`` turns comes in several rows (``part`` 0, 1,
-    ...), so that no row grows without limit; in order, the parts make up the whole.
+    One row is one training example, so a conversation too large for a row fails loudly;
+    ``rendered_turns`` is the form for those.
     """
-    placed = turns.select(
-        conv,
-        F.floor(F.col(turn) / part_turns).alias("part"),
-        F.struct(F.col(turn).alias("_t"), item.alias("_x")).alias("_s"),
-    )
-    gathered = placed.groupBy(conv, "part").agg(F.sort_array(F.collect_list("_s")).alias("_all"))
-    return gathered.select(conv, "part", F.col("_all._x").alias(out))
+    placed = turns.select(conv, F.struct(F.col(turn).alias("_t"), item.alias("_x")).alias("_s"))
+    gathered = placed.groupBy(conv).agg(F.sort_array(F.collect_list("_s")).alias("_all"))
+    return gathered.select(conv, F.col("_all._x").alias(out))
 
 
 def render_chat(
@@ -48,19 +43,31 @@ def render_chat(
     role: str = "role",
     text: str = "text",
     reasoning_effort: str | None = None,
-    part_turns: int = PART_TURNS,
 ) -> DataFrame:
-    """The rendered text of each conversation, without a generation prompt."""
-    pieces = collect_turns(
-        turns,
-        turn_text(F.col(role), F.col(text)),
-        "_pieces",
-        conv=conv,
-        turn=turn,
-        part_turns=part_turns,
-    )
-    head = F.when(F.col("part") == 0, effort_line(reasoning_effort)).otherwise("")
-    return pieces.select(conv, "part", F.concat(head, F.array_join("_pieces", "")).alias(text))
+    """The rendered text of each conversation, without a generation prompt: one row each."""
+    pieces = collect_turns(turns, turn_text(F.col(role), F.col(text)), "_pieces", conv=conv, turn=turn)
+    head = F.lit(effort_line(reasoning_effort))
+    return pieces.select(conv, F.concat(head, F.array_join("_pieces", "")).alias(text))
+
+
+def rendered_turns(
+    turns: DataFrame,
+    *,
+    conv: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    text: str = "text",
+    reasoning_effort: str | None = None,
+) -> DataFrame:
+    """The rendered conversation in long form: one row per turn, with its start in the whole.
+
+    For conversations of any size; the effort line comes before the first start.
+    """
+    piece = turn_text(F.col(role), F.col(text))
+    pieces = turns.select(conv, turn, piece.alias(text), F.char_length(piece).cast("bigint").alias("_len"))
+    block = F.floor(F.col(turn) / BLOCK_TURNS)
+    placed = running(pieces, [conv], [turn], block, {"_at": ("sum", F.col("_len"))}, inclusive=False)
+    return placed.select(conv, turn, (F.col("_at") + len(effort_line(reasoning_effort))).alias("start"), text)
 
 
 def completion_spans(
@@ -71,7 +78,7 @@ def completion_spans(
     role: str = "role",
     text: str = "text",
     reasoning_effort: str | None = None,
-    part_turns: int = PART_TURNS,
+    block_turns: int = BLOCK_TURNS,
 ) -> DataFrame:
     """Character start and end of each assistant body in the whole rendered conversation.
 
@@ -85,7 +92,7 @@ def completion_spans(
         body.cast("bigint").alias("_body"),
         F.char_length(turn_text(F.col(role), F.col(text))).cast("bigint").alias("_len"),
     )
-    block = F.floor(F.col(turn) / part_turns)
+    block = F.floor(F.col(turn) / block_turns)
     placed = running(lengths, [conv], [turn], block, {"_at": ("sum", F.col("_len"))}, inclusive=False)
     head = len(effort_line(reasoning_effort)) + len(f"{TURN_START}{RESPONSE_ROLE}\n")
     start = F.col("_at") + head

@@ -9,6 +9,8 @@ of block totals. The result is the same as the plain window's.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,9 +55,7 @@ def seeded_rank(
     starts = starts.drop("_rows")
     if first is not None:
         starts = starts.where(F.col("_start") < first)
-    if not within and digits <= BROADCAST_DIGITS:
-        starts = F.broadcast(starts)  # at most 16**digits rows, whatever the input size
-    placed = hashed.join(starts, [*within, "_blk"])
+    placed = same_keys_join(hashed, starts, [*within, "_blk"], "inner", small=not within and digits <= BROADCAST_DIGITS)
     in_block = Window.partitionBy(*within, "_blk").orderBy("_hash", *keys)
     placed = placed.withColumn(pos, (F.col("_start") + F.row_number().over(in_block)).cast("bigint"))
     if first is not None:
@@ -109,7 +109,7 @@ def running(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     )
     scanned = blocked.withColumns({f"_l_{n}": _fold(fn, col).over(local) for n, (fn, col) in values.items()})
-    out = scanned.join(carry, [*keys, blk], "left").withColumns(
+    out = same_keys_join(scanned, carry, [*keys, blk], "left").withColumns(
         {n: _combine(fn, F.col(f"_c_{n}"), F.col(f"_l_{n}")) for n, (fn, _) in values.items()}
     )
     helpers = [f"_{side}_{n}" for side in "cl" for n in values]
@@ -129,7 +129,7 @@ def exact_median(
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     points = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
     cut = rows.groupBy(*keys).agg(F.percentile_approx("_v", points, 10_000).alias("_cuts"))
-    pieces = lookup_join(rows, cut, keys, "inner").select(
+    pieces = same_keys_join(rows, cut, keys, "inner").select(
         *keys, "_v", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_piece")
     )
     # one row per key and distinct value: this is the only large shuffle
@@ -151,7 +151,7 @@ def exact_median(
         .drop("_m", "_all")
     )
     in_piece = Window.partitionBy(*keys, "_piece").orderBy("_v")
-    seen = freq.join(wanted, [*keys, "_piece"]).withColumn(
+    seen = same_keys_join(freq, wanted, [*keys, "_piece"], "inner").withColumn(
         "_end", F.col("_start") + F.sum("_n").over(in_piece)
     )
 
@@ -169,6 +169,27 @@ def dense_index(df: DataFrame, order: Sequence[str], block: Column, *, out: str
     return running(tagged, ["_all"], order, block, {out: ("sum", one)}, inclusive=False).drop("_all")
 
 
+def same_keys_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str, *, small: bool = False
+) -> DataFrame:
+    """Join derived from one table back to another, where a null key is a key like any other.
+
+    Like ``lookup_join``, both sides get a shuffle of their own, so that a hot key is split.
+    ``small`` marks a right side of a proven size, which is broadcast.
+    """
+    on = list(on)
+    theirs = right.withColumnsRenamed({k: f"_r_{k}" for k in on})
+    match = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in on]
+    if small:
+        theirs = F.broadcast(theirs)  # at most 16**digits rows, whatever the input size
+    else:
+        left = left.withColumn("_key_hash", F.xxhash64(*on))
+        theirs = theirs.withColumn("_r_key_hash", F.xxhash64(*[f"_r_{k}" for k in on]))
+        match.insert(0, F.col("_key_hash") == F.col("_r_key_hash"))
+    joined = left.join(theirs, reduce(and_, match), how)
+    return joined.drop("_key_hash", "_r_key_hash", *[f"_r_{k}" for k in on])
+
+
 def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join rows to a table with one row per key (an aggregate), safe for a hot key on the left.
 

@@ -209,8 +209,9 @@ def preference_pairs(
     ``best_worst`` gives one pair per task; ``best_vs_rest`` pairs the best completion
     with every worse one. Both are linear in the completions; the full set of pairs
     grows with the square of a task's completions and is not produced
-    (``pair_counts`` reports its size).
+    (``pair_counts`` reports its size). Completions without a reward are in no pair.
     """
+    scored = scored.where(F.col(reward).isNotNull())
     pick = scored.groupBy(task).agg(
         F.min_by(F.struct(gen, reward), F.struct(-F.col(reward), F.col(gen))).alias("_c"),
         F.min_by(F.struct(gen, reward), F.struct(F.col(reward), F.col(gen))).alias("_r"),
@@ -234,11 +235,15 @@ def preference_pairs(
 
 
 def pair_counts(scored: DataFrame, *, task: str = "task_id", reward: str = "reward") -> DataFrame:
-    """How many (better, worse) pairs each task has, counted from its reward levels."""
-    levels = scored.groupBy(task, reward).agg(F.count("*").alias("n"))
+    """How many (better, worse) pairs each task has, counted from its reward levels.
+
+    Completions without a reward are in no pair; a task with none else is still listed.
+    """
+    counted = F.count(reward).alias("n")
+    levels = scored.groupBy(task, reward).agg(counted)
     # pairs over different rewards = (n^2 - sum of level^2) / 2
     return levels.groupBy(task).agg(
-        (((F.sum("n") * F.sum("n")) - F.sum(F.col("n") * F.col("n"))) / 2).cast("bigint").alias("pairs")
+        F.expr("(sum(n) * sum(n) - sum(n * n)) div 2").alias("pairs")
     )
 
 

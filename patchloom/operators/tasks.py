@@ -23,7 +23,6 @@ STRATEGY_CAPS = {
 ONE_PER_FUNCTION = ("lm_rewrite",)
 RUN_LIMITS = {"baseline": 7200, "patched": 1800, "evaluation": 240, "reward": 180}
 REWARD_GUARD = 60
-LIST_PART = 10_000
 
 
 def literal_map(values: Mapping[str, float]) -> Column:
@@ -65,40 +64,22 @@ def test_transitions(results: DataFrame, task: str = "task_id") -> DataFrame:
 test_transitions.__test__ = False  # not a pytest case
 
 
-def transition_lists(
-    results: DataFrame, *, task: str = "task_id", test: str = "test", part_size: int = LIST_PART
-) -> DataFrame:
-    """Per task, the sorted test names of each transition, with the task's counts.
+def transition_lists(results: DataFrame, *, task: str = "task_id", test: str = "test") -> DataFrame:
+    """Per task, the sorted test names of each transition, with their counts: one row each.
 
-    A task with more than ``part_size`` tests comes in several rows (``part`` 0, 1, ...),
-    each holding a hash share of its tests, so that no list grows with the table. Every
-    other task is one row with part 0. The counts are those of the whole task.
+    The lists of a task are one record, so a task with too many tests for a row fails loudly;
+    ``with_transition`` gives the same facts in long form, one row per test.
     """
-    counts = test_transitions(results, task)
-    tests = sum((F.col(f"n_{t}") for t in TRANSITIONS), start=F.lit(0))
-    large = counts.where(tests > part_size).select(
-        task,
-        F.ceil(tests / part_size).alias("_parts"),
-        *[F.col(f"n_{t}").alias(f"_n_{t}") for t in TRANSITIONS],
-    )
     named = with_transition(results).select(task, test, "transition")
-    share = F.pmod(F.xxhash64(test), F.coalesce("_parts", F.lit(1).cast("bigint")))
-    gathered = (
-        lookup_join(named, large, [task])
-        .withColumn("part", share.cast("bigint"))
-        .groupBy(task, "part")
-        .agg(
-            *[
-                F.sort_array(F.collect_list(F.when(F.col("transition") == t, F.col(test)))).alias(t)
-                for t in TRANSITIONS
-            ],
-            *[F.max(f"_n_{t}").alias(f"_n_{t}") for t in TRANSITIONS],
-        )
+    lists = named.groupBy(task).agg(
+        *[
+            F.sort_array(F.collect_list(F.when(F.col("transition") == t, F.col(test)))).alias(t)
+            for t in TRANSITIONS
+        ],
+        # nulls are not collected, so tests without a name are counted by themselves
+        *[F.count_if(F.col("transition") == t).alias(f"n_{t}") for t in TRANSITIONS],
     )
-    whole = {
-        f"n_{t}": F.coalesce(F.col(f"_n_{t}"), F.size(t).cast("bigint")) for t in TRANSITIONS
-    }
-    return gathered.withColumns(whole).drop(*[f"_n_{t}" for t in TRANSITIONS])
+    return lists
 
 
 def valid_tasks(transitions: DataFrame, min_f2p: int = 1, min_p2p: int = 1) -> DataFrame:
@@ -118,7 +99,6 @@ def task_instances(
     good = valid_tasks(transition_lists(results, **options), min_f2p, min_p2p)
     lists = good.select(
         "task_id",
-        "part",
         F.col("fail_to_pass").alias("FAIL_TO_PASS"),
         F.col("pass_to_pass").alias("PASS_TO_PASS"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from patchloom.operators.scans import exact_median, lookup_join, running
+from patchloom.operators.scans import exact_median, lookup_join, running, same_keys_join
 
 # Checkpoints kept, steps between them, evaluations in a skill search.
 KEEP, SAVE_EVERY, MAX_CALLS = 3, 50, 600
@@ -35,7 +35,7 @@ def param_effects(trials: DataFrame, *, params: str = "params", loss: str = "eva
         F.count("*").alias("trials"), F.min("loss").alias("min_loss"), F.avg("loss").alias("mean_loss")
     )
     medians = exact_median(long, ["param", "value"], "loss", out="median_loss")
-    return stats.join(medians, ["param", "value"])
+    return same_keys_join(stats, medians, ["param", "value"], "inner")
 
 
 def best_checkpoint(

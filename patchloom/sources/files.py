@@ -25,9 +25,6 @@ ITERATION_SCHEMA = (
 )
 TRIAL_SCHEMA = "trial bigint, eval_loss double, params map<string,string>, state string"
 
-# Text files up to this size are read as one value.
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
-
 
 def _is_directory(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -77,21 +74,14 @@ def read_tasks(spark: SparkSession, path: str, *, lines_only: bool = False) -> D
     return lines.unionByName(documents)
 
 
-def _paragraphs(spark: SparkSession, path: str, whole_file_bytes: int) -> DataFrame:
+def _paragraphs(spark: SparkSession, path: str) -> DataFrame:
     """Non-blank paragraphs of text files: runs of text between empty lines.
 
-    Small files are read whole and cut in place. A larger file is read line by line in
-    splits; its lines are numbered by the empty lines before them, split by split, and
-    gathered per paragraph, so no task ever holds the file.
+    Files of every size are read line by line in splits; lines are numbered by the empty
+    lines before them, split by split, and gathered per paragraph, so no task ever holds a
+    file. A byte order mark is no text.
     """
-    reader = spark.read.option("pathGlobFilter", "*.txt")
-    size = F.col("_metadata.file_size")  # files are chosen by size before any is opened
-    whole = reader.text(path, wholetext=True).where(size <= whole_file_bytes)
-    newlines = F.regexp_replace("value", "\r\n?", "\n")
-    body = F.when(F.contains("value", F.lit("\r")), newlines).otherwise(F.col("value"))
-    small = whole.select(F.explode(F.split(body, "\n\n")).alias("text"))
-
-    lines = reader.text(path).where(size > whole_file_bytes)
+    lines = spark.read.option("pathGlobFilter", "*.txt").text(path)
     placed = lines.select(
         "value",
         F.col("_metadata.file_path").alias("file"),
@@ -105,11 +95,11 @@ def _paragraphs(spark: SparkSession, path: str, whole_file_bytes: int) -> DataFr
         .groupBy("file", "number")
         .agg(F.sort_array(F.collect_list(F.struct("start", "line", "value"))).alias("lines"))
     )
-    large = gathered.select(F.array_join("lines.value", "\n").alias("text"))
-    return small.unionByName(large).select(strip(F.col("text")).alias("text")).where("text <> ''")
+    whole = F.array_join("lines.value", "\n")
+    return gathered.select(strip(whole).alias("text")).where("text <> ''")
 
 
-def read_corpus(spark: SparkSession, path: str, *, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """Texts for continued pretraining: one ``.txt`` file, or a directory.
 
     Text files give their non-blank paragraphs; JSON lines give ``text``, where a missing
@@ -118,9 +108,9 @@ def read_corpus(spark: SparkSession, path: str, *, whole_file_bytes: int = WHOLE
     if not _is_directory(spark, path):
         if not path.endswith(".txt"):
             raise ValueError(f"not a corpus: {path}")
-        return _paragraphs(spark, path, whole_file_bytes)
+        return _paragraphs(spark, path)
     lines = _json_lines(spark, path, "text string", "*.jsonl")
-    texts = _paragraphs(spark, path, whole_file_bytes)
+    texts = _paragraphs(spark, path)
     return texts.unionByName(lines.select(F.coalesce("text", F.lit("")).alias("text")))
 
 
@@ -131,8 +121,11 @@ def read_preferences(spark: SparkSession, path: str, schema: str = PREFERENCE_SC
 
 
 def read_reports(spark: SparkSession, path: str) -> DataFrame:
-    """``*/report.json``, one directory level: the directory's name and its verdict."""
-    rows = spark.read.option("multiLine", "true").schema("resolved boolean").json(f"{path}/*/report.json")
+    """``*/report.json``, one directory level: the directory's name and its verdict.
+
+    A report that cannot be parsed fails the read.
+    """
+    rows = spark.read.options(multiLine="true", mode="FAILFAST").schema("resolved boolean").json(f"{path}/*/report.json")
     name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/report\.json$", 1)
     return rows.select(
         F.url_decode(name).alias("instance_id"), F.coalesce("resolved", F.lit(False)).alias("resolved")
@@ -167,7 +160,10 @@ def read_trials(spark: SparkSession, path: str) -> DataFrame:
 def read_iterations(
     spark: SparkSession, path: str, schema: str = ITERATION_SCHEMA, *, stream: bool = False
 ) -> DataFrame:
-    """Every ``iterations.jsonl`` below a directory, as a table or as a stream of new files."""
+    """Every ``iterations.jsonl`` below a directory, as a table or as a stream of new files.
+
+    A line that cannot be parsed fails the read.
+    """
     reader = spark.readStream if stream else spark.read
-    options = {"recursiveFileLookup": "true", "pathGlobFilter": "iterations.jsonl"}
+    options = {"recursiveFileLookup": "true", "pathGlobFilter": "iterations.jsonl", "mode": "FAILFAST"}
     return reader.options(**options).schema(schema).json(path)

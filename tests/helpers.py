@@ -11,7 +11,11 @@ def column(spark, values, fn, type_="string"):
 
 
 def tuples(df, *cols):
-    return sorted(tuple(r) for r in df.select(*cols).collect())
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=_null_last)
+
+
+def _null_last(row):
+    return [(v is None, v) for v in row]
 
 
 def plan_of(df):

@@ -32,18 +32,22 @@ def test_render_chat(spark):
     assert got == {c: rendered(c) for c in (1, 2, 3)}
 
 
-def test_parts_of_a_long_chat_make_up_the_whole(spark):
-    rows = H.render_chat(turns(spark), part_turns=8, reasoning_effort="high").orderBy("conv_id", "part").collect()
-    head = "<|im_start|>system\nReasoning: high<|im_end|>\n"
-    for conv, n in ((1, 1), (2, 1), (3, 7)):
-        parts = [r.text for r in rows if r.conv_id == conv]
-        assert len(parts) == n and "".join(parts) == head + rendered(conv)
+def test_one_row_per_chat_wherever_its_turns_begin(spark):
+    late = spark.range(5000, 11_000).selectExpr("9 AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "repeat('x', 20) AS text")
+    (row,) = H.render_chat(late, reasoning_effort="high").collect()
+    assert row.text.startswith("<|im_start|>system\nReasoning: high<|im_end|>\n")
+    spans = H.completion_spans(late, reasoning_effort="high").collect()
+    assert len(spans) == 3000 and all(row.text[s.start : s.end] == "x" * 20 for s in spans)
+    (share,) = H.masked_share(late, reasoning_effort="high").collect()
+    assert share.chars == len(row.text)
+    pieces = H.rendered_turns(late, reasoning_effort="high").orderBy("turn").collect()
+    assert len(pieces) == 6000 and all(row.text.startswith(p.text, p.start) for p in pieces[::500])
 
 
 @pytest.mark.parametrize("effort", [None, "low"])
 def test_spans_point_at_assistant_bodies(spark, effort):
     whole = {c: C.effort_line(effort) + rendered(c) for c in (1, 2, 3)}
-    spans = H.completion_spans(turns(spark), part_turns=8, reasoning_effort=effort).collect()
+    spans = H.completion_spans(turns(spark), block_turns=8, reasoning_effort=effort).collect()
     assert len(spans) == 26
     for r in spans:
         body = whole[r.conv_id][r.start : r.end]

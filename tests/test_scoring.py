@@ -144,3 +144,11 @@ def test_texts_stay_out_of_the_shuffles(spark):
     for line in plan_of(slim).splitlines():
         if "Exchange" in line:
             assert "completion" not in line and "stdout" not in line
+
+
+def test_completions_without_a_reward_are_in_no_pair(spark):
+    rows = [(1, 0, 0.5), (1, 1, 1.0), (1, 2, None), (2, 0, None)]
+    scored = spark.createDataFrame(rows, "task_id int, gen int, reward double")
+    for how in ("best_worst", "best_vs_rest"):
+        assert tuples(S.preference_pairs(scored, how), "task_id", "chosen_gen", "rejected_gen") == [(1, 1, 0)]
+    assert tuples(S.pair_counts(scored), "task_id", "pairs") == [(1, 1), (2, 0)]

@@ -81,8 +81,6 @@ def test_a_large_text_file_is_split_between_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
         spark.conf.set("spark.sql.files.openCostInBytes", "1")
         try:
-            got = S.read_corpus(spark, str(tmp_path), whole_file_bytes=100)
-            assert sorted(r.text for r in got.collect()) == want
             got = S.read_corpus(spark, str(tmp_path))
             assert sorted(r.text for r in got.collect()) == want
         finally:
@@ -90,6 +88,18 @@ def test_a_large_text_file_is_split_between_tasks(spark, tmp_path):
             spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_a_byte_order_mark_is_no_text(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes(b"\xef\xbb\xbfhello\n\nyou")
+    assert sorted(r.text for r in S.read_corpus(spark, str(tmp_path)).collect()) == ["hello", "you"]
+
+
+@pytest.mark.parametrize("name, read", [("x/report.json", S.read_reports), ("iterations.jsonl", S.read_iterations)])
+def test_broken_json_fails_the_read(spark, tmp_path, name, read):
+    write(tmp_path / name, '{"resolved": tru')
+    with pytest.raises(Exception):
+        read(spark, str(tmp_path)).collect()
+
+
 def test_preferences(spark, tmp_path):
     rows = [{"prompt": "p", "chosen": "a", "rejected": "b"}, {"prompt": "q", "chosen": "c", "rejected": "d"}]
     write(tmp_path / "dpo_preferences.json", json.dumps(rows, indent=1))

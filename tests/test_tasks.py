@@ -26,25 +26,20 @@ def test_transitions(spark):
     assert tuples(K.valid_tasks(counts, min_p2p=0), "task_id") == [(1,), (3,), (4,)]
 
 
-def test_lists_of_a_large_task_come_in_parts(spark):
-    lists = {(r.task_id, r.part): r for r in K.transition_lists(results(spark)).collect()}
-    assert lists[(1, 0)].fail_to_pass == ["t1", "t2"] and lists[(1, 0)].pass_to_pass == ["t3"]
-    assert len(lists) == 4
-    big = spark.range(1000).select(
-        F.when(F.col("id") < 900, 1).otherwise(F.col("id")).alias("task_id"),
-        F.concat(F.lit("t"), F.col("id").cast("string")).alias("test"),
-        F.lit(True).alias("base_pass"),
-        (F.col("id") % 2 == 0).alias("patched_pass"),
-    )
-    parts = K.transition_lists(big, part_size=50).collect()
-    hot = [r for r in parts if r.task_id == 1]
-    assert 2 <= len(hot) <= 18
-    assert max(len(r.fail_to_pass) + len(r.pass_to_pass) for r in hot) < 120
-    broken = sorted(t for r in hot for t in r.fail_to_pass)
-    assert broken == sorted(f"t{i}" for i in range(900) if i % 2)
-    assert all(r.part == 0 for r in parts if r.task_id != 1)
-    assert all(r.n_fail_to_pass == 450 and r.n_pass_to_pass == 450 for r in hot)
-    assert all(r.n_fail_to_pass == len(r.fail_to_pass) for r in parts if r.task_id != 1)
+def test_one_row_of_lists_per_task_at_every_size(spark):
+    lists = {r.task_id: r for r in K.transition_lists(results(spark)).collect()}
+    assert lists[1].fail_to_pass == ["t1", "t2"] and lists[1].pass_to_pass == ["t3"] and len(lists) == 4
+    big = spark.range(25_000).selectExpr("1 AS task_id", "concat('t', id) AS test", "true AS base_pass", "id % 2 = 0 AS patched_pass")
+    (row,) = K.transition_lists(big).collect()
+    assert row.fail_to_pass == sorted(f"t{i}" for i in range(1, 25_000, 2)) and row.n_fail_to_pass == 12_500
+    task = spark.createDataFrame([(1, "i", "r", None), (2, "j", "r", None)], "task_id int, instance_id string, repo string, patch string")
+    assert K.combine_bugs(K.task_instances(task, big)).count() == 0
+
+
+def test_bugs_without_a_repository_are_combined(spark):
+    rows = [(f"i{i}", None, f"diff --git a/f{i} b/f{i}", ["t"]) for i in range(4)]
+    tasks = spark.createDataFrame(rows, "instance_id string, repo string, patch string, FAIL_TO_PASS array<string>")
+    assert K.combine_bugs(tasks, 2).count() == 2
 
 
 def test_task_instances(spark):

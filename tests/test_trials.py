@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from patchloom.operators import reports as R
 from patchloom.operators import trials as D
+from patchloom.operators.scans import exact_median, running
 from tests.helpers import plan_of, tuples
 
 METRICS = "trial int, step bigint, eval_loss double"
@@ -147,3 +148,15 @@ def test_cost_summary(spark):
     df = spark.createDataFrame(rows, "stage string, model string, cost double")
     got = {(r.stage, r.model): r.cost for r in R.cost_summary(df).collect()}
     assert got == {("gen", "m1"): 1, ("gen", "m2"): 2, ("gen", None): 3, ("eval", "m1"): 4, ("eval", None): 4, (None, None): 7}
+
+
+def test_a_null_key_is_a_key_like_any_other(spark):
+    rows = [(run, hour, 10.0) for run in ("a", None) for hour in range(6)]
+    costs = spark.createDataFrame(rows, "run string, at int, cost double")
+    out = running(costs, ["run"], ["at"], F.col("at"), {"total": ("sum", F.col("cost"))})
+    got = {(r.run, r.at): r.total for r in out.collect()}
+    assert got == {(run, at): 10.0 * (at + 1) for run in ("a", None) for at in range(6)}
+    values = spark.createDataFrame([(k, float(v)) for k in ("a", None) for v in range(5)], "k string, v double")
+    assert {r.k: r.median for r in exact_median(values, ["k"], "v").collect()} == {"a": 2.0, None: 2.0}
+    trials = spark.createDataFrame([(1, {"sched": None, "lr": "1"}, 0.5)], "trial int, params map<string,string>, eval_loss double")
+    assert tuples(D.param_effects(trials), "param", "value", "median_loss") in ([("lr", "1", 0.5), ("sched", None, 0.5)],)
