@@ -30,6 +30,12 @@ def normal(line: str) -> bytes:
     return b" ".join(line.encode("utf-8", "surrogatepass").translate(_LOWER).split())
 
 
+def normal_lines(text: str | None) -> list[bytes]:
+    """All lines of a text as they are compared; blank ones are empty."""
+    whole = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER)
+    return [b" ".join(line.split()) for line in whole.split(b"\n")]
+
+
 def line_hash(line: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(line, digest_size=8).digest(), "little", signed=True)
 
@@ -80,8 +86,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         new: dict[int, bytes] = {}
         for text in batch.column("text").to_pylist():
-            for line in (text or "").split("\n"):
-                plain = normal(line)
+            for plain in normal_lines(text):
                 if plain and (h := line_hash(plain)) not in seen:
                     seen.add(h)
                     new[h] = plain
@@ -121,8 +126,8 @@ def _occurrences(docs: DataFrame) -> DataFrame:
         for batch in slices(batches, "text"):
             owner, hashes, nth = [], [], []
             for d, text in enumerate(batch.column("text").to_pylist()):
-                for i, line in enumerate((text or "").split("\n")):
-                    if plain := normal(line):
+                for i, plain in enumerate(normal_lines(text)):
+                    if plain:
                         owner.append(d)
                         hashes.append(line_hash(plain))
                         nth.append(i)
