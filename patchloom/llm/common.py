@@ -12,10 +12,12 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -203,17 +205,19 @@ def min_label(edges: DataFrame, rounds: int = 100) -> DataFrame:
     return now.toDF("node", "label").union(roots)
 
 
+@cache
+def _zstd() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    """One pair of contexts per Python worker: making them costs more than a short text."""
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def pack(text: str | None) -> bytes:
     """A text compressed for a shuffle; null counts as empty."""
-    import zstandard
-
-    return zstandard.ZstdCompressor(level=3).compress((text or "").encode())
+    return _zstd()[0].compress((text or "").encode())
 
 
 def unpack(packed: bytes) -> str:
-    import zstandard
-
-    return zstandard.ZstdDecompressor().decompress(packed).decode()
+    return _zstd()[1].decompress(packed).decode()
 
 
 def text_keys(texts: pa.Array) -> np.ndarray:

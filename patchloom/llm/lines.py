@@ -22,6 +22,8 @@ BANDS, ROWS = 10, 3
 BINS = BANDS * ROWS
 KEY, PACKED, GONE = "__patchloom_key", "__patchloom_packed", "__patchloom_gone"
 SEEN = 1_000_000  # line hashes a task remembers, to send a repeated line's keys once
+CHUNK = 1 << 16  # bytes of lines signed at once: their arrays stay in the processor's cache
+_RAGGED = (b"\t", b"\r", b"\x0b", b"\x0c", b"  ", b" \n", b"\n ")
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -33,6 +35,8 @@ def normal(line: str) -> bytes:
 def normal_lines(text: str | None) -> list[bytes]:
     """All lines of a text as they are compared; blank ones are empty."""
     whole = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER)
+    if not (whole[:1] == b" " or whole[-1:] == b" " or any(x in whole for x in _RAGGED)):
+        return whole.split(b"\n")  # white space is joined and trimmed already
     return [b" ".join(line.split()) for line in whole.split(b"\n")]
 
 
@@ -43,14 +47,31 @@ def line_hash(line: bytes) -> int:
 def shingles(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """All runs of ``SHINGLE`` bytes as 64-bit values, and the line of each; short lines are one run."""
     padded = [x if len(x) >= SHINGLE else x.ljust(SHINGLE, b"\0") for x in lines]
+    if not padded:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     sizes = np.array([len(x) for x in padded], dtype=np.int64)
     data = b"".join(padded)
-    every = np.ndarray((max(len(data) - SHINGLE + 1, 0),), dtype="<u8", buffer=data, strides=(1,)) if data else np.zeros(0, np.uint64)
-    runs = sizes - SHINGLE + 1
-    owner = np.repeat(np.arange(len(lines)), runs)
-    begin = np.cumsum(sizes) - sizes
-    at = np.arange(len(owner)) - np.repeat(np.cumsum(runs) - runs, runs) + begin[owner]
-    return every[at], owner
+    every = np.ndarray((len(data) - SHINGLE + 1,), dtype="<u8", buffer=data, strides=(1,))
+    inside = np.ones(len(every), dtype=bool)  # runs that reach into the next line are none
+    inside[(np.cumsum(sizes)[:-1, None] - np.arange(1, SHINGLE)).ravel()] = False
+    return every[inside], np.repeat(np.arange(len(lines)), sizes - SHINGLE + 1)
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    """Spread the bits of 64-bit values, in place: two rounds, enough for minima of shingles."""
+    h *= np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    return h
+
+
+def _chunks(lines: list[bytes]) -> Iterator[list[bytes]]:
+    """Lines in order, cut where about ``CHUNK`` bytes are reached."""
+    ends = np.cumsum([len(x) for x in lines])
+    cuts = np.flatnonzero(np.diff(ends // CHUNK)) + 1
+    for start, end in zip([0, *cuts], [*cuts, len(lines)]):
+        yield lines[start:end]
 
 
 def band_keys(lines: list[bytes]) -> np.ndarray:
@@ -60,10 +81,15 @@ def band_keys(lines: list[bytes]) -> np.ndarray:
     the value of the next filled one, marked with how far it was borrowed.
     """
     values, owner = shingles(lines)
-    h = mix(values)
-    bins = ((h >> np.uint64(32)) * np.uint64(BINS)) >> np.uint64(32)
+    h = _mix(values)
+    low = h.astype(np.uint32) & np.uint32(0xFFFFFFFE)
+    h >>= np.uint64(32)
+    h *= np.uint64(BINS)
+    h >>= np.uint64(32)
+    owner *= BINS
+    owner += h.view(np.int64)
     table = np.full(len(lines) * BINS, 0xFFFFFFFF, dtype=np.uint32)
-    np.minimum.at(table, owner * BINS + bins.astype(np.int64), (h & np.uint64(0xFFFFFFFE)).astype(np.uint32))
+    np.minimum.at(table, owner, low)
     table = table.reshape(-1, BINS)
     filled = table != 0xFFFFFFFF
     signature = table.astype(np.uint64)
@@ -93,7 +119,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(seen) > SEEN:
             seen.clear()
         if new:
-            keys = band_keys(list(new.values()))
+            keys = np.concatenate([band_keys(part) for part in _chunks(list(new.values()))])
             hashes = np.repeat(np.fromiter(new, np.int64, len(new)), BANDS)
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(hashes)], ["key", "line"])
 
@@ -151,8 +177,12 @@ def _pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(lines, pa.binary())], ["line", "words"])
 
 
-def shingle_set(line: bytes) -> frozenset[bytes]:
-    return frozenset(line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1)))
+def shingle_set(line: bytes) -> frozenset:
+    """The distinct shingles of a line: their bytes as numbers, or the whole of a short line."""
+    runs = len(line) - SHINGLE + 1
+    if runs < 1:
+        return frozenset([line])
+    return frozenset(np.ndarray((runs,), dtype="<u8", buffer=line, strides=(1,)).tolist())
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
