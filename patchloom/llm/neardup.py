@@ -22,7 +22,8 @@ SKETCH = 64  # smallest hashes kept
 SHARED = 0.74
 # A link's estimate from the union sketch is at least this (four deviations below).
 ESTIMATE = 0.67
-BLOCK = 2000  # members of one inverted list that one task compares
+BLOCK = 2000  # members of one inverted list that one task holds
+ASKING = 256  # members compared with those at a time
 
 
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
@@ -167,34 +168,42 @@ def _shared_counts(asking: list[np.ndarray], own: list[np.ndarray]) -> np.ndarra
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Members of list blocks to links across components, on full sets.
 
-    Rows come sorted by (value, block): members that look for partners (``asks``) and the
-    block's own. One block is held at a time. For each asking member, one link to a component
-    is enough.
+    Rows come sorted by (value, block, asks): first the block's own members, which are held,
+    then those that look for partners, which stream past some at a time. For each asking
+    member, one link to a component is enough.
     """
 
     def rows():
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, ASKING):
+                part = batch.slice(at, ASKING)
                 sets = shingle_sets(pa.array([unpack(p) for p in part.column("packed").to_pylist()], pa.large_string()))
                 yield from zip(*(part.column(c).to_pylist() for c in ("value", "block", "node", "label", "asks")), sets)
 
     for _, group in groupby(rows(), key=lambda r: r[:2]):
-        held = list(group)
-        own = [r for r in held if not r[4]]
-        out: dict[tuple, tuple] = {}
+        own, some = [], []
+        for row in group:
+            (some if row[4] else own).append(row)
+            if len(some) == ASKING:
+                yield _partners(some, own)
+                some = []
+        if some:
+            yield _partners(some, own)
+
+
+def _partners(asking: list[tuple], own: list[tuple]) -> pa.RecordBatch:
+    """Links (a, b) of asking members to a block's own members of other components, one each."""
+    out: dict[tuple, tuple] = {}
+    if own:
         size = np.array([len(r[5]) for r in own])
         label = np.array([r[3] for r in own])
-        asking = [r for r in held if r[4]]
-        for at in range(0, len(asking) if own else 0, 256):
-            some = asking[at : at + 256]
-            both = _shared_counts([r[5] for r in some], [r[5] for r in own])
-            for r, shared in zip(some, both):
-                good = (100 * shared >= PERCENT * (size + len(r[5]) - shared)) & (label != r[3])
-                for k in np.flatnonzero(good):
-                    out[r[2], int(label[k])] = (r[2], own[k][2])
-        columns = list(zip(*out.values())) or [[], []]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+        both = _shared_counts([r[5] for r in asking], [r[5] for r in own])
+        for r, shared in zip(asking, both):
+            good = (100 * shared >= PERCENT * (size + len(r[5]) - shared)) & (label != r[3])
+            for k in np.flatnonzero(good):
+                out[r[2], int(label[k])] = (r[2], own[k][2])
+    columns = list(zip(*out.values())) or [[], []]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -261,7 +270,7 @@ def _residual_links(lists: DataFrame, labels: DataFrame, texts: DataFrame) -> Da
     own = mixed.select(*row, F.pmod(F.xxhash64("node"), n_blocks).cast("int").alias("block"), F.lit(False).alias("asks"), "packed")
     asking = mixed.where(F.col("label") != F.col("main"))
     asking = asking.select(*row, F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("block"), F.lit(True).alias("asks"), "packed")
-    dealt = own.unionByName(asking).repartition("value", "block").sortWithinPartitions("value", "block")
+    dealt = own.unionByName(asking).repartition("value", "block").sortWithinPartitions("value", "block", "asks")
     return dealt.mapInArrow(_compared, f"a {kind}, b {kind}")
 
 

@@ -144,3 +144,19 @@ def test_components(spark):
                 changed = True
     assert {n: l for n, l in got.items()} == {n: l for n, l in label.items() if n in got}
     assert {x for e in edges if None not in e and e[0] != e[1] for x in e} <= set(got)
+
+
+def test_asking_members_stream_past_a_block(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(neardup, "ASKING", 3)
+    same = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"x{i}" for i in range(60))
+    own = [(7, 0, n, 1, False, text) for n, text in ((1, same), (2, other))]
+    asking = [(7, 0, n, n, True, same) for n in range(10, 21)]
+    rows = own + asking + [(8, 0, 30, 30, True, same)]  # a block without members of its own
+    columns = list(zip(*rows))
+    packed = pa.array([neardup.pack(t) for t in columns[5]], pa.binary())
+    batch = pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns[:5]), packed], ["value", "block", "node", "label", "asks", "packed"])
+    found = {(a, b) for out in neardup._compared(iter([batch.slice(0, 5), batch.slice(5)])) for a, b in zip(*(c.to_pylist() for c in out.columns))}
+    assert found == {(n, 1) for n in range(10, 21)}
