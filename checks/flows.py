@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import Inputs, query
+from checks.scoring import PICKS, scored
+from checks.tasks import PROMPT_SQL
 from patchloom.functions.udfs import map_examples as run_formatter
 from patchloom.functions.udfs import register_reward as add_reward
 from patchloom.plans import flows
@@ -133,3 +135,36 @@ def map_examples(t: Inputs):
     return run_formatter(
         t.documents.select("doc_id", "lang", "text"), count_lines, "doc_id bigint, lang string, lines bigint"
     )
+
+
+@query(f"SELECT task_id, {PROMPT_SQL} AS prompt FROM fx_tasks")
+def prompt_set(t: Inputs):
+    return flows.repair_prompts(t.fx_tasks)
+
+
+PAIR_TEXTS = f"""
+SELECT p.task_id, k.prompt, c.completion AS chosen, r.completion AS rejected
+FROM pairs p JOIN (SELECT task_id, {PROMPT_SQL} AS prompt FROM fx_tasks) k ON p.task_id = k.task_id
+JOIN fx_completions c ON c.task_id = p.task_id AND c.gen = p.chosen_gen
+JOIN fx_completions r ON r.task_id = p.task_id AND r.gen = p.rejected_gen"""
+
+
+@query(
+    PICKS
+    + """, low AS (SELECT task_id, gen AS rejected_gen, reward AS rejected_reward FROM v_hybrid
+  QUALIFY row_number() OVER (PARTITION BY task_id ORDER BY reward, gen) = 1),
+pairs AS (SELECT task_id, chosen_gen, rejected_gen FROM top JOIN low USING (task_id) WHERE chosen_reward > rejected_reward)"""
+    + PAIR_TEXTS
+)
+def preference_set(t: Inputs):
+    return flows.preference_set(t.fx_tasks, t.fx_completions, scored(t))
+
+
+@query(
+    PICKS
+    + """, pairs AS (SELECT h.task_id, chosen_gen, h.gen AS rejected_gen FROM v_hybrid h JOIN top USING (task_id)
+  WHERE chosen_reward > h.reward)"""
+    + PAIR_TEXTS
+)
+def preference_set_best_vs_rest(t: Inputs):
+    return flows.preference_set(t.fx_tasks, t.fx_completions, scored(t), "best_vs_rest")

@@ -115,12 +115,12 @@ def fill_problem_statement(t: Inputs):
     return filled(t).select("task_id", "problem_statement")
 
 
-@query(
-    f"""
-SELECT task_id, concat({q(T.REPAIR_HEAD)}, repo, {q(T.REPAIR_PROBLEM)}, coalesce(problem_statement, ''), chr(10),
+PROMPT_SQL = f"""concat({q(T.REPAIR_HEAD)}, repo, {q(T.REPAIR_PROBLEM)}, coalesce(problem_statement, ''), chr(10),
   CASE WHEN coalesce(hints_text, '') <> '' THEN concat({q(T.REPAIR_HINTS)}, hints_text, chr(10)) ELSE '' END,
-  {q(T.REPAIR_TAIL)}) AS prompt FROM fx_tasks"""
-)
+  {q(T.REPAIR_TAIL)})"""
+
+
+@query(f"SELECT task_id, {PROMPT_SQL} AS prompt FROM fx_tasks")
 def render_repair_prompt(t: Inputs):
     return prompts.render_repair_prompt(t.fx_tasks).select("task_id", "prompt")
 

@@ -12,7 +12,7 @@ from patchloom.functions.prompts import fill_problem_statement, render_repair_pr
 from patchloom.functions.text import est_tokens
 from patchloom.operators.chats import answered_ids, quality_filter, render_chat, select_resolved
 from patchloom.operators.scans import lookup_join
-from patchloom.operators.scoring import group_advantage, score
+from patchloom.operators.scoring import group_advantage, preference_pairs, score
 from patchloom.operators.splits import split_exact, split_fraction
 from patchloom.operators.tasks import task_instances, transition_lists
 
@@ -70,6 +70,25 @@ def repair_prompts(tasks: DataFrame) -> DataFrame:
     return render_repair_prompt(tasks).select("task_id", "prompt")
 
 
+def preference_set(
+    tasks: DataFrame,
+    completions: DataFrame,
+    scored: DataFrame,
+    how: str = "best_worst",
+) -> DataFrame:
+    """Prompt, chosen and rejected text of every preference pair, with the task's id.
+
+    Pairs are picked on ids and rewards alone; the texts join the picked ones. (task_id, gen)
+    identifies a completion, task_id a task. A pair whose task is not given has no row.
+    """
+    pairs = preference_pairs(scored.select("task_id", "gen", "reward"), how)
+    for side in ("chosen", "rejected"):
+        texts = completions.select("task_id", F.col("gen").alias(f"{side}_gen"), F.col("completion").alias(side))
+        pairs = lookup_join(pairs, texts, ["task_id", f"{side}_gen"], "inner")
+    pairs = lookup_join(pairs, repair_prompts(tasks), ["task_id"], "inner")
+    return pairs.select("task_id", "prompt", "chosen", "rejected")
+
+
 def skill_split(
     tasks: DataFrame, key: Sequence[str], results: DataFrame | None = None, **sizes
 ) -> DataFrame:
