@@ -10,9 +10,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,8 @@ from patchloom.operators.scans import lookup_join
 from patchloom.session import tune
 
 SLICE_BYTES = 2_000_000
+BLOCK = 2000  # members of one list that one task holds
+ASKING = 256  # members compared with those at a time
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -205,6 +208,94 @@ def min_label(edges: DataFrame, rounds: int = 100) -> DataFrame:
     return now.toDF("node", "label").union(roots)
 
 
+def shared_counts(asking: list[np.ndarray], own: list[np.ndarray]) -> np.ndarray:
+    """Intersection sizes of every asking set with every own set.
+
+    Only values of both sides matter. Each becomes a column of two 0/1 matrices whose product
+    counts them, some thousand columns at a time.
+    """
+    ask_flat, own_flat = np.concatenate(asking), np.concatenate(own)
+    values = np.intersect1d(ask_flat, own_flat)
+    out = np.zeros((len(asking), len(own)), dtype=np.float32)
+    ask_row, own_row = (np.repeat(np.arange(len(x)), [len(v) for v in x]) for x in (asking, own))
+
+    def columns(flat, row):
+        at = np.minimum(np.searchsorted(values, flat), max(len(values) - 1, 0))
+        hit = values[at] == flat if len(values) else np.zeros(len(flat), bool)
+        return at[hit], row[hit]
+
+    (ask_at, ask_row), (own_at, own_row) = columns(ask_flat, ask_row), columns(own_flat, own_row)
+    for low in range(0, len(values), 4096):
+        pair = []
+        for at, row, n in ((ask_at, ask_row, len(asking)), (own_at, own_row, len(own))):
+            part = (at >= low) & (at < low + 4096)
+            m = np.zeros((n, min(4096, len(values) - low)), dtype=np.float32)
+            m[row[part], at[part] - low] = 1
+            pair.append(m)
+        out += pair[0] @ pair[1].T
+    return out.astype(np.int64)
+
+
+def _partners(asking: list[tuple], own: list[tuple], percent: int) -> pa.RecordBatch:
+    """Links (a, b) of asking members to a block's own members of other components, one each."""
+    out: dict[tuple, tuple] = {}
+    if own:
+        size = np.array([len(r[5]) for r in own])
+        label = np.array([r[3] for r in own])
+        both = shared_counts([r[5] for r in asking], [r[5] for r in own])
+        for r, shared in zip(asking, both):
+            good = (100 * shared >= percent * (size + len(r[5]) - shared)) & (label != r[3])
+            for k in np.flatnonzero(good):
+                out[r[2], int(label[k])] = (r[2], own[k][2])
+    columns = list(zip(*out.values())) or [[], []]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+
+def residual_links(lists: DataFrame, labels: DataFrame, texts: DataFrame, sets_of: Callable[[list[bytes]], list[np.ndarray]], percent: int) -> DataFrame:
+    """Links (a, b) between components whose members meet in a list, on full sets.
+
+    ``lists`` has rows (value, node), ``labels`` the components known so far, ``texts`` the
+    packed text of each node. The members of a list outside its main component are compared
+    with all others of the list, so no partner is left out. A list is held in blocks of
+    ``BLOCK`` members; those that look for partners come to every block and stream past it,
+    ``ASKING`` at a time. For each of them, one link to a component is enough.
+    """
+    kind = lists.schema["node"].dataType.simpleString()
+    known = lookup_join(lists, labels, ["node"], "left").withColumn("label", F.coalesce("label", "node"))
+    groups = known.groupBy("value", "label").agg(F.count("*").alias("m"))
+    main = groups.groupBy("value").agg(F.max_by("label", F.struct("m", F.col("label"))).alias("main"), F.count("*").alias("parts"), F.sum("m").alias("m"))
+    mixed = lookup_join(known, main.where("parts > 1"), ["value"], "inner")
+    mixed = lookup_join(mixed, texts, ["node"], "inner")
+    n_blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    row = ["value", "node", "label"]
+    own = mixed.select(*row, F.pmod(F.xxhash64("node"), n_blocks).cast("int").alias("block"), F.lit(False).alias("asks"), "packed")
+    asking = mixed.where(F.col("label") != F.col("main"))
+    asking = asking.select(*row, F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("block"), F.lit(True).alias("asks"), "packed")
+    dealt = own.unionByName(asking).repartition("value", "block").sortWithinPartitions("value", "block", "asks")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by (value, block, asks): a block's own members first, then those that ask."""
+
+        def rows():
+            for batch in batches:
+                for at in range(0, batch.num_rows, ASKING):
+                    part = batch.slice(at, ASKING)
+                    sets = sets_of(part.column("packed").to_pylist())
+                    yield from zip(*(part.column(c).to_pylist() for c in ("value", "block", "node", "label", "asks")), sets)
+
+        for _, group in groupby(rows(), key=lambda r: r[:2]):
+            own_rows, some = [], []
+            for member in group:
+                (some if member[4] else own_rows).append(member)
+                if len(some) == ASKING:
+                    yield _partners(some, own_rows, percent)
+                    some = []
+            if some:
+                yield _partners(some, own_rows, percent)
+
+    return dealt.mapInArrow(compared, f"a {kind}, b {kind}")
+
+
 @cache
 def _zstd() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
     """One pair of contexts per Python worker: making them costs more than a short text."""

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from patchloom.llm.common import min_label, mix, pack, prepared, slices, text_keys, unpack, written
+from patchloom.llm.common import min_label, mix, pack, prepared, residual_links, slices, text_keys, unpack, written
 from patchloom.operators.scans import lookup_join
 
 SHINGLE = 8  # UTF-8 bytes of the normalised line
@@ -125,7 +124,10 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _band_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, line) to pairs of each line with the first of its key and the one before."""
+    """Rows sorted by (key, line) to pairs of each line with the first of its key and the one before.
+
+    All lines of a key are in its pairs, so the pairs with their key are also its membership.
+    """
     key = first = before = None
     for batch in batches:
         keys, lines = batch.column("key").to_numpy(), batch.column("line").to_numpy()
@@ -138,10 +140,11 @@ def _band_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = np.where(begin >= 0, lines[np.maximum(begin, 0)], lines[0] if first is None else first)
         last = np.concatenate([[lines[0] if before is None else before], lines[:-1]])
         key, first, before = keys[-1], start[-1], lines[-1]
+        of = np.tile(keys[~new], 2)
         a = np.concatenate([start[~new], last[~new]])
-        b = np.concatenate([lines[~new], lines[~new]])
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)[a != b], axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        b = np.tile(lines[~new], 2)
+        pairs = np.unique(np.stack([of, np.minimum(a, b), np.maximum(a, b)], axis=1)[a != b], axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs.T], ["key", "a", "b"])
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
@@ -224,8 +227,9 @@ def _packed(docs: DataFrame) -> DataFrame:
 def line_components(docs: DataFrame, occurrences: DataFrame) -> tuple[DataFrame, DataFrame]:
     """First places of lines, and for lines linked with others their component's label."""
     pairs = docs.select("text").mapInArrow(_keys, "key long, line long")
-    pairs = pairs.repartition("key").sortWithinPartitions("key", "line").mapInArrow(_band_pairs, "a long, b long")
-    pairs = written(pairs.distinct(), "line-pairs")
+    pairs = pairs.repartition("key").sortWithinPartitions("key", "line").mapInArrow(_band_pairs, "key long, a long, b long")
+    bands = written(pairs, "line-bands")
+    pairs = written(bands.select("a", "b").distinct(), "line-pairs")
     places = occurrences.groupBy("line").agg(F.min(F.struct("doc_id", "key", "nth")).alias("place"), F.count("*").alias("n"))
     places = written(places, "line-places")
     nodes = pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct()
@@ -236,8 +240,35 @@ def line_components(docs: DataFrame, occurrences: DataFrame) -> tuple[DataFrame,
     texts = written(texts.dropDuplicates(["line"]), "lines")
     both = lookup_join(pairs.withColumn("line", F.col("a")), texts, ["line"], "inner").drop("line")
     both = lookup_join(both.withColumn("line", F.col("b")), texts.withColumnRenamed("words", "words_b"), ["line"], "inner").drop("line")
-    labels = min_label(both.mapInArrow(_linked, "a long, b long"))
-    return places, labels.select(F.col("node").alias("line"), "label")
+    labels = written(min_label(both.mapInArrow(_linked, "a long, b long")), "line-labels")
+    return places, _joined(labels, _unsettled(bands), texts)
+
+
+def _unsettled(bands: DataFrame) -> DataFrame:
+    """Rows (value, node) of bands with three lines or more; bands of the same lines count once."""
+    members = bands.select("key", F.explode(F.array("a", "b")).alias("node")).distinct()
+    marks = [F.sum(F.xxhash64("node", F.lit(i)).cast("decimal(38,0)")).alias(f"mark{i}") for i in (1, 2)]
+    of_key = members.groupBy("key").agg(F.count("*").alias("m"), *marks).where("m > 2")
+    one = of_key.groupBy("m", "mark1", "mark2").agg(F.min("key").alias("key"))
+    return lookup_join(members, one.select("key"), ["key"], "left_semi").select(F.col("key").alias("value"), "node")
+
+
+def _sets(packed: list[bytes]) -> list[np.ndarray]:
+    """Sorted shingles of each line, as numbers; a short line is told by its hash."""
+    return [np.unique(shingles([x])[0]) if len(x) >= SHINGLE else np.array([line_hash(x)]).view(np.uint64) for x in packed]
+
+
+def _joined(labels: DataFrame, members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Components after the lines of a band outside its main one have met all others there."""
+    found = residual_links(members, labels, texts.toDF("node", "packed"), _sets, PERCENT).distinct()
+    ends = labels.withColumnRenamed("label", "root")
+    for end in ("a", "b"):  # links between lines to links between their components
+        known = lookup_join(found.withColumn("node", F.col(end)), ends, ["node"], "left")
+        found = known.withColumn(end, F.coalesce("root", end)).drop("node", "root")
+    roots = written(min_label(found.distinct()), "line-roots").toDF("label", "root")
+    old = lookup_join(labels, roots, ["label"], "left").select("node", F.coalesce("root", "label").alias("label"))
+    # lines without a link before are their own component
+    return old.union(lookup_join(roots.toDF("node", "label"), labels.select("node").distinct(), ["node"], "left_anti")).toDF("line", "label")
 
 
 def dedupe_lines(docs: DataFrame) -> DataFrame:
@@ -252,8 +283,9 @@ def dedupe_lines(docs: DataFrame) -> DataFrame:
     Null ids: such rows are left as they are and are nobody's first line. Identical rows keep
     the same lines. An empty table gives no rows.
 
-    A pair of lines meets if it shares a band with the first line of that band or follows it
-    there; recall is that of the banding, and the exact check leaves no false link.
+    Two lines meet if they share a band: first each with the band's first line and with the
+    one before it there, then the lines outside the band's main component with all others of
+    it. Recall is that of the banding, and the exact check leaves no false link.
     """
     prepared(docs.sparkSession)
     docs = docs.drop("n_lines", "n_removed")

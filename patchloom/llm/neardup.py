@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patchloom.llm.common import min_label, pack, prepared, slices, unpack, words_of, written
+from patchloom.llm.common import min_label, pack, prepared, residual_links, slices, unpack, words_of, written
 from patchloom.operators.scans import lookup_join
 
 SHINGLE = 5  # words
@@ -22,8 +21,6 @@ SKETCH = 64  # smallest hashes kept
 SHARED = 0.74
 # A link's estimate from the union sketch is at least this (four deviations below).
 ESTIMATE = 0.67
-BLOCK = 2000  # members of one inverted list that one task holds
-ASKING = 256  # members compared with those at a time
 
 
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
@@ -137,73 +134,8 @@ def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return right.mapInArrow(_verified, f"a {kind}, b {kind}")
 
 
-def _shared_counts(asking: list[np.ndarray], own: list[np.ndarray]) -> np.ndarray:
-    """Intersection sizes of every asking set with every own set.
-
-    Only values of both sides matter. Each becomes a column of two 0/1 matrices whose product
-    counts them, some thousand columns at a time.
-    """
-    ask_flat, own_flat = np.concatenate(asking), np.concatenate(own)
-    values = np.intersect1d(ask_flat, own_flat)
-    out = np.zeros((len(asking), len(own)), dtype=np.float32)
-    ask_row, own_row = (np.repeat(np.arange(len(x)), [len(v) for v in x]) for x in (asking, own))
-
-    def columns(flat, row):
-        at = np.minimum(np.searchsorted(values, flat), max(len(values) - 1, 0))
-        hit = values[at] == flat if len(values) else np.zeros(len(flat), bool)
-        return at[hit], row[hit]
-
-    (ask_at, ask_row), (own_at, own_row) = columns(ask_flat, ask_row), columns(own_flat, own_row)
-    for low in range(0, len(values), 4096):
-        pair = []
-        for at, row, n in ((ask_at, ask_row, len(asking)), (own_at, own_row, len(own))):
-            part = (at >= low) & (at < low + 4096)
-            m = np.zeros((n, min(4096, len(values) - low)), dtype=np.float32)
-            m[row[part], at[part] - low] = 1
-            pair.append(m)
-        out += pair[0] @ pair[1].T
-    return out.astype(np.int64)
-
-
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members of list blocks to links across components, on full sets.
-
-    Rows come sorted by (value, block, asks): first the block's own members, which are held,
-    then those that look for partners, which stream past some at a time. For each asking
-    member, one link to a component is enough.
-    """
-
-    def rows():
-        for batch in batches:
-            for at in range(0, batch.num_rows, ASKING):
-                part = batch.slice(at, ASKING)
-                sets = shingle_sets(pa.array([unpack(p) for p in part.column("packed").to_pylist()], pa.large_string()))
-                yield from zip(*(part.column(c).to_pylist() for c in ("value", "block", "node", "label", "asks")), sets)
-
-    for _, group in groupby(rows(), key=lambda r: r[:2]):
-        own, some = [], []
-        for row in group:
-            (some if row[4] else own).append(row)
-            if len(some) == ASKING:
-                yield _partners(some, own)
-                some = []
-        if some:
-            yield _partners(some, own)
-
-
-def _partners(asking: list[tuple], own: list[tuple]) -> pa.RecordBatch:
-    """Links (a, b) of asking members to a block's own members of other components, one each."""
-    out: dict[tuple, tuple] = {}
-    if own:
-        size = np.array([len(r[5]) for r in own])
-        label = np.array([r[3] for r in own])
-        both = _shared_counts([r[5] for r in asking], [r[5] for r in own])
-        for r, shared in zip(asking, both):
-            good = (100 * shared >= PERCENT * (size + len(r[5]) - shared)) & (label != r[3])
-            for k in np.flatnonzero(good):
-                out[r[2], int(label[k])] = (r[2], own[k][2])
-    columns = list(zip(*out.values())) or [[], []]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+def _packed_sets(packed: list[bytes]) -> list[np.ndarray]:
+    return shingle_sets(pa.array([unpack(p) for p in packed], pa.large_string()))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -242,7 +174,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = written(_texts(docs, lists.select("node").distinct()), "texts")
     found = written(links(candidates, texts), "links")
     labels = written(min_label(found), "labels")
-    residual = written(_residual_links(lists, labels, texts).distinct(), "residual")
+    residual = written(residual_links(lists, labels, texts, _packed_sets, PERCENT).distinct(), "residual")
     found = found.union(residual)
     labels = min_label(found)
 
@@ -257,23 +189,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return whole.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
-def _residual_links(lists: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links between components that meet in a list."""
-    kind = lists.schema["node"].dataType.simpleString()
-    known = lookup_join(lists, labels, ["node"], "left").withColumn("label", F.coalesce("label", "node"))
-    groups = known.groupBy("value", "label").agg(F.count("*").alias("m"))
-    main = groups.groupBy("value").agg(F.max_by("label", F.struct("m", F.col("label"))).alias("main"), F.count("*").alias("parts"), F.sum("m").alias("m"))
-    mixed = lookup_join(known, main.where("parts > 1"), ["value"], "inner")
-    mixed = lookup_join(mixed, texts, ["node"], "inner")
-    n_blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    row = ["value", "node", "label"]
-    own = mixed.select(*row, F.pmod(F.xxhash64("node"), n_blocks).cast("int").alias("block"), F.lit(False).alias("asks"), "packed")
-    asking = mixed.where(F.col("label") != F.col("main"))
-    asking = asking.select(*row, F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("block"), F.lit(True).alias("asks"), "packed")
-    dealt = own.unionByName(asking).repartition("value", "block").sortWithinPartitions("value", "block", "asks")
-    return dealt.mapInArrow(_compared, f"a {kind}, b {kind}")
-
-
 def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Packed texts of some documents: rows (node, packed), one per node."""
     kind = docs.schema["doc_id"].dataType.simpleString()

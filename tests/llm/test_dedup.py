@@ -4,7 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
-from patchloom.llm import lines, neardup, substrings
+from patchloom.llm import common, lines, neardup, substrings
 from patchloom.llm.common import min_label
 from tests.llm.helpers import EDGE, docs, rows
 
@@ -146,17 +146,29 @@ def test_components(spark):
     assert {x for e in edges if None not in e and e[0] != e[1] for x in e} <= set(got)
 
 
-def test_asking_members_stream_past_a_block(monkeypatch):
-    import pyarrow as pa
-
-    monkeypatch.setattr(neardup, "ASKING", 3)
-    same = " ".join(f"w{i}" for i in range(60))
-    other = " ".join(f"x{i}" for i in range(60))
-    own = [(7, 0, n, 1, False, text) for n, text in ((1, same), (2, other))]
-    asking = [(7, 0, n, n, True, same) for n in range(10, 21)]
-    rows = own + asking + [(8, 0, 30, 30, True, same)]  # a block without members of its own
-    columns = list(zip(*rows))
-    packed = pa.array([neardup.pack(t) for t in columns[5]], pa.binary())
-    batch = pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns[:5]), packed], ["value", "block", "node", "label", "asks", "packed"])
-    found = {(a, b) for out in neardup._compared(iter([batch.slice(0, 5), batch.slice(5)])) for a, b in zip(*(c.to_pylist() for c in out.columns))}
-    assert found == {(n, 1) for n in range(10, 21)}
+def test_asking_members_stream_past_blocks(spark, monkeypatch):
+    monkeypatch.setattr(common, "BLOCK", 4)
+    monkeypatch.setattr(common, "ASKING", 3)
+    same, other = (" ".join(f"{x}{i}" for i in range(60)) for x in "wx")
+    members = [(n, same if n % 3 else other) for n in range(1, 24)]
+    lists = spark.createDataFrame([(7, n) for n, _ in members] + [(8, 1)], "value long, node long")
+    texts = spark.createDataFrame([(n, common.pack(t)) for n, t in members], "node long, packed binary")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (4, 1)], "node long, label long")
+    found = common.residual_links(lists, labels, texts, neardup._packed_sets, 85)
+    got = {r.node: r.label for r in min_label(found.union(spark.createDataFrame([(1, 2), (1, 4)], "a long, b long"))).collect()}
+    assert got == {n: (1 if n % 3 else 3) for n, _ in members}
+
+
+def test_like_lines_between_unlike_ones_meet(spark):
+    """In the order of the band, b is next to x and y alone, which are unlike it."""
+    like = [b"the quick brown fox jumps over the lazy dog again", b"the quick brown fox jumps over the lazy dog again!"]
+    words = {1: b"some wholly different line of text", 2: like[0], 3: b"and one more that is like no other", 4: like[1], 5: b"short"}
+    bands = [(key, a, b) for key in (70, 71) for a, b in ((1, 2), (1, 3), (2, 3), (1, 4), (3, 4), (1, 5), (4, 5))] + [(72, 2, 5)]
+    bands = spark.createDataFrame(bands, "key long, a long, b long")
+    texts = spark.createDataFrame(list(words.items()), "line long, words binary")
+    members = lines._unsettled(bands)
+    assert members.count() == 5  # two bands of the same lines are one, one of two lines is settled
+    none = spark.createDataFrame([], "node long, label long")
+    assert rows(lines._joined(none, members, texts), "line", "label") == [(2, 2), (4, 2)]
+    before = spark.createDataFrame([(4, 4), (9, 4)], "node long, label long")
+    assert rows(lines._joined(before, members, texts), "line", "label") == [(2, 2), (4, 2), (9, 2)]
