@@ -53,11 +53,17 @@ def live_rates(
 
 
 def dedupe_results(results: DataFrame, key: Sequence[str], *, ts: str = "ts", delay: str = "1 hour") -> DataFrame:
-    """Count a repeated report of one run once: a stream's repeats within the delay, a table's all."""
+    """Count a repeated report of one run once: a stream's repeats within the delay, a table's all.
+
+    Of differing repeats a table keeps the earliest, then the least by all other columns in
+    turn, whatever the layout; a stream keeps the one it meets first.
+    """
     timed = event_time(results, ts, delay)
     if results.isStreaming:
         return timed.dropDuplicatesWithinWatermark(list(key))
-    return timed.dropDuplicates(list(key))
+    # a null time is no time: such a report stands behind all others
+    order = [F.col(ts).isNull().alias("_untimed"), F.col(ts), *[F.col(c) for c in timed.columns if c != ts]]
+    return timed.groupBy(*key).agg(F.min(F.struct(*order)).alias("_first")).select(*[f"_first.{c}" for c in timed.columns])
 
 
 def idle_sessions(

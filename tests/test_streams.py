@@ -107,6 +107,15 @@ def test_dedupe(spark, tmp_path):
     assert live.dedupe_results(df.union(df), ["id"]).count() == 30
 
 
+def test_differing_repeats_keep_the_earliest(spark):
+    rows = [(1, "2024-01-01 00:00:02", "b"), (1, "2024-01-01 00:00:01", "c"), (1, "2024-01-01 00:00:01", "a"), (1, None, "0"), (2, None, "x"), (None, "2024-01-01 00:00:03", "n")]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "id long, ts string, kind string").repartition(3)
+        out = live.dedupe_results(df, ["id"])
+        assert out.columns == ["id", "ts", "kind"]
+        assert sorted((r.id or 0, r.kind) for r in out.collect()) == [(0, "n"), (1, "a"), (2, "x")]
+
+
 def test_idle_sessions(spark, tmp_path):
     df = events(spark, 120)
     table = live.idle_sessions(df, ["who"], gap="47 minutes")
