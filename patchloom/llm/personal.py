@@ -18,10 +18,10 @@ from patchloom.operators.scans import lookup_join
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("remove", "generalise")
 WINDOW = 4  # words on either side of a mention
-SUPPORT = 3  # documents in which a term stands near an entity, at least
 REMOVE_AT, GENERALISE_AT = 0.95, 0.80  # share of an entity's information a term discloses
 # Terms counted by a set sent to all tasks, at most; more are counted through a shuffle.
 BROADCAST_TERMS = 200_000
+HELD_COUNTS = 500_000  # counts of slices a task holds before it merges and sends them
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -90,7 +90,10 @@ def term_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _contexts(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, str, int, int]]:
-    """(entity, word, start, end) of words near mentions and outside all spans."""
+    """(entity, word, start, end) of words near mentions and outside all spans.
+
+    The word is whole, as in ``term_hashes`` of the text; its place is without marks at the ends.
+    """
     words = [m.span() for m in _WORD.finditer(text)]
     starts = [a for a, _ in words]
     taken = sorted((a, b) for _, a, b in spans)
@@ -101,20 +104,20 @@ def _contexts(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, s
         first = int(np.searchsorted(starts, low, side="right")) - 1
         last = int(np.searchsorted(starts, high, side="left"))
         for i in [*range(max(0, first - WINDOW), first + 1), *range(last, min(len(words), last + WINDOW))]:
-            a, b = words[i]
+            low_word, high_word = a, b = words[i]
             while a < b and not text[a].isalnum():
                 a += 1
             while b > a and not text[b - 1].isalnum():
                 b -= 1
             if a < b and not any(x < b and a < y for x, y in taken):
-                found[entity, a] = (entity, text[a:b], a, b)
+                found[entity, a] = (entity, text[low_word:high_word], a, b)
     return list(found.values())
 
 
 def find_entities(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, row (a number of its own), base spans and words near them."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    near = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("first", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))
+    near = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,12 +128,11 @@ def find_entities(docs: DataFrame) -> DataFrame:
                 spans = base_spans(text or "")
                 bases.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
                 found = _contexts(text, spans) if spans else []
-                seen, entries = set(), []
+                entries = []
                 hashes = term_hashes(pa.array([w for _, w, _, _ in found], pa.string())) if found else ((), ())
                 for h, i in zip(*hashes):
                     entity, _, a, b = found[i]
-                    entries.append({"entity": entity, "term": int(h), "first": int((entity, h) not in seen), "start": a, "end": b})
-                    seen.add((entity, h))
+                    entries.append({"entity": entity, "term": int(h), "start": a, "end": b})
                 contexts.append(entries)
             rows = pa.array(range(row, row + batch.num_rows), pa.int64())
             row += batch.num_rows
@@ -138,11 +140,19 @@ def find_entities(docs: DataFrame) -> DataFrame:
 
     schema = (
         f"doc_id {kind}, row long, base array<struct<kind:string,start:bigint,end:bigint>>, "
-        "near array<struct<entity:bigint,term:bigint,first:bigint,start:bigint,end:bigint>>"
+        "near array<struct<entity:bigint,term:bigint,start:bigint,end:bigint>>"
     )
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Counts per term of several slices as one batch of rows (term, n)."""
+    values, at = np.unique(np.concatenate([v for v, _ in held]), return_inverse=True)
+    sums = np.zeros(len(values), dtype=np.int64)
+    np.add.at(sums, at, np.concatenate([n for _, n in held]))
+    return pa.RecordBatch.from_arrays([pa.array(values), pa.array(sums)], ["term", "n"])
+
+
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """How often each of ``terms`` occurs in all texts: rows (term, n).
 
@@ -155,14 +165,19 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(len(wanted.value), dtype=np.int64) if wanted else None
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in slices(batches, "text"):
             hashes, _ = term_hashes(batch.column("text"))
             if wanted is None:
-                values, n = np.unique(hashes, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(n)], ["term", "n"])
+                held.append(np.unique(hashes, return_counts=True))
+                if sum(len(v) for v, _ in held) > HELD_COUNTS:
+                    yield _merged(held)
+                    held = []
             elif len(wanted.value):
                 at = np.minimum(np.searchsorted(wanted.value, hashes), len(wanted.value) - 1)
                 sums += np.bincount(at[wanted.value[at] == hashes], minlength=len(sums))
+        if held:
+            yield _merged(held)
         if wanted is not None:
             yield pa.RecordBatch.from_arrays([pa.array(wanted.value[sums > 0]), pa.array(sums[sums > 0])], ["term", "n"])
 
@@ -177,19 +192,18 @@ def disclosing_terms(found: DataFrame, docs: DataFrame) -> DataFrame:
     p(e) is the share of an entity's contexts among all words near entities, p(e|t) the share
     of a term's occurrences in the whole corpus that lie in those contexts. The term discloses
     log p(e|t)/p(e) of the log 1/p(e) that naming the entity would: 1 when it occurs nowhere
-    else. Terms near an entity in fewer than ``SUPPORT`` documents are left alone.
+    else, be it near the entity once.
     """
     near = found.select(F.explode("near").alias("c")).select("c.*")
-    pairs = near.groupBy("entity", "term").agg(F.count("*").alias("both"), F.sum("first").alias("docs"))
+    pairs = near.groupBy("entity", "term").agg(F.count("*").alias("both"))
     pairs = written(pairs, "pairs")
     entities = pairs.groupBy("entity").agg(F.sum("both").alias("n_entity"))
     all_words = F.broadcast(pairs.agg(F.sum("both").alias("n_all")))  # one row
-    strong = pairs.where(F.col("docs") >= SUPPORT)
-    counts = term_counts(docs, strong.select("term").distinct())
-    both = lookup_join(lookup_join(strong, counts, ["term"], "inner"), entities, ["entity"], "inner").join(all_words)
+    counts = term_counts(docs, pairs.select("term").distinct())
+    both = lookup_join(lookup_join(pairs, counts, ["term"], "inner"), entities, ["entity"], "inner").join(all_words)
     information = F.log2(F.col("n_all") / F.col("n_entity"))
     gained = F.log2(F.least(F.col("both") / F.col("n"), F.lit(1.0)))
-    share = F.when(information > 0, 1 + gained / information).otherwise(0.0)
+    share = F.when(gained == 0, 1.0).when(information > 0, 1 + gained / information).otherwise(0.0)
     return both.select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE_AT)
 
 

@@ -101,6 +101,20 @@ def test_disclosing_terms_and_sanitising(spark):
     assert "ann@x.org" not in personal.sanitise(text, spans) and "zaphod" not in personal.sanitise(text, spans)
 
 
+def test_terms_near_an_entity_of_one_document(spark, monkeypatch):
+    texts = [(1, "write to Zaphod at ann@x.org today please"), (2, "call \u201cTrillian\u201d on +1 (743) 555-3824 today please")]
+    texts += [(10 + i, f"write to bob{i}@y.org today please call at on") for i in range(30)]
+    for limit in (personal.BROADCAST_TERMS, 3):  # the second joins the counts of all terms
+        monkeypatch.setattr(personal, "BROADCAST_TERMS", limit)
+        got = {r.doc_id: r.spans for r in personal.find_personal_data(docs(spark, texts)).collect()}
+        for doc_id, name in ((1, "Zaphod"), (2, "Trillian")):
+            at = texts[doc_id - 1][1].index(name)
+            assert got[doc_id].split(",")[1:] == [f"remove:{at}:{at + len(name)}"]
+        assert all("," not in got[10 + i] for i in range(30))
+    alone = personal.find_personal_data(docs(spark, [(1, texts[0][1]), (2, "write to at today please")])).where("doc_id = 1").first()
+    assert alone.spans == "email:19:28,remove:9:15"
+
+
 def test_personal_edges(spark):
     got = rows(personal.find_personal_data(docs(spark, EDGE)), "doc_id", "n_email", "base_sha256", "spans")
     nothing = hashlib.sha256(b"").hexdigest()
