@@ -41,6 +41,9 @@ _BESIDE = re.compile(
     r"comments?|comment-\w+|replies|reply|disqus|respond|footer\w*|header\w*|masthead|topbar|toolbar|login|signup|search|pagination|pager|skip)(?![a-z])",
     re.I,
 )
+# In the article these name its own head; elements named by the others hold pages' other texts whole.
+_OWN_HEAD = re.compile(r"header|masthead", re.I)
+_APART = re.compile(r"comment|repl(?:y|ies)|disqus|respond|related|recommend", re.I)
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<({_SILENT})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|$)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[a-zA-Z/][^>]*$",
@@ -64,11 +67,43 @@ class Block:
         self.text, self.link_chars, self.beside, self.inside, self.heading = text, link_chars, beside, inside, heading
 
 
+class Marks:
+    """Elements marked as beside the article that may be wrappers of it, by their place among all tags."""
+
+    def __init__(self):
+        self.sizes: dict[int, int] = {}  # characters in each
+        self.titled: set[int] = set()  # those with an h1
+        self.around: list[frozenset[int]] = []  # of each article or main: those that contain it
+        self.bare = False  # an article or main is in no marked element
+        self.total = 0
+
+
 def blocks(page: str) -> list[Block]:
-    """The page's blocks in order, white space joined and character references decoded."""
+    """The page's blocks in order, white space joined and character references decoded.
+
+    An element that contains the article is not beside it, whatever its name: the marked
+    elements around the article or main that has the fewest of them count as unmarked. On a
+    page without any, those count so that hold more than half of the text and the h1, or more
+    than half where nothing else is main text.
+    """
+    marks = Marks()
+    found = _blocks(page, frozenset(), marks)
+    if marks.bare:
+        return found
+    if marks.around:
+        return _blocks(page, min(marks.around, key=len), Marks())
+    wide = {e for e, size in marks.sizes.items() if 2 * size > marks.total}
+    if wide and (wide & marks.titled or not any(classify(found))):
+        return _blocks(page, frozenset(wide & marks.titled or wide), Marks())
+    return found
+
+
+def _blocks(page: str, wrappers: frozenset[int], marked: Marks) -> list[Block]:
+    """Blocks where ``wrappers`` are not marked as beside the article; fills ``marked``."""
     found: list[Block] = []
     parts: list[str] = []
     stack: list[tuple[str, bool]] = []  # open elements, and whether each is beside the article
+    around: list[tuple[int, int, bool]] = []  # open marked ones: depth, place, whether it may be a wrapper
     links = link_chars = main = beside = 0
     heading = False
 
@@ -76,6 +111,10 @@ def blocks(page: str) -> list[Block]:
         nonlocal parts, link_chars, heading
         text = " ".join(entities.unescape("".join(parts)).split())
         if text:
+            marked.total += len(text)
+            for _, place, soft in around:
+                if soft:
+                    marked.sizes[place] = marked.sizes.get(place, 0) + len(text)
             found.append(Block(text, min(link_chars, len(text)), beside > 0, main > 0, heading))
         parts, link_chars, heading = [], 0, False
 
@@ -107,16 +146,34 @@ def blocks(page: str) -> list[Block]:
                     beside -= aside
                     main -= open_name in ("article", "main")
                     links -= open_name == "a"
+                    if around and around[-1][0] == len(stack):
+                        around.pop()
                     if open_name == name:
                         break
         elif name not in _EMPTY and not token[4].endswith("/"):
             if name in ("p", "li", "td", "th", "tr", "dd", "dt", "option") and stack and stack[-1][0] == name:
                 _, aside = stack.pop()  # its end tag may be left out
                 beside -= aside
+                if around and around[-1][0] == len(stack):
+                    around.pop()
             marks = " ".join(a or b or c for a, b, c in _NAMES.findall(token[4]))
             # a header beside the article is the page's, one in it is the article's own
-            aside = name in _OUTSIDE or (name == "header" and not main) or bool(_HIDDEN.search(token[4]))
-            aside = aside or (name not in ("html", "body", "article", "main") and bool(_BESIDE.search(marks)))
+            hidden = bool(_HIDDEN.search(token[4]))
+            aside = name in _OUTSIDE or (name == "header" and not main) or hidden
+            if not aside and name not in ("html", "body", "article", "main"):
+                aside = any(not (main and _OWN_HEAD.match(m[1])) for m in _BESIDE.finditer(marks))
+            if name in ("article", "main") and not hidden:
+                if not around:
+                    marked.bare = True
+                elif all(soft for _, _, soft in around):
+                    marked.around.append(frozenset(place for _, place, _ in around))
+            elif name == "h1":
+                marked.titled.update(place for _, place, _ in around)
+            if aside and token.start() in wrappers:
+                aside = False
+            elif aside:
+                soft = not hidden and (name == "form" or name not in _OUTSIDE) and not _APART.search(marks)
+                around.append((len(stack), token.start(), soft))
             stack.append((name, aside))
             beside += aside
             main += name in ("article", "main")

@@ -140,6 +140,39 @@ def test_main_text():
     assert mainpage.main_text(PAGE.replace("article>", "div>")) == "\n\n".join(want)
 
 
+ARTICLE = """<h1>A title of it</h1><p>The first of the lines is here, and it is for the one who has to be with it.</p>
+<p>And the last of it was that they had not been there for him, as it is.</p>"""
+COMMENTS = """<section id="comments"><article><p>I like the thing and it is the best of all that was there.</p></article></section>"""
+ARTICLE_TEXT = [
+    "A title of it",
+    "The first of the lines is here, and it is for the one who has to be with it.",
+    "And the last of it was that they had not been there for him, as it is.",
+]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<div class="content with-sidebar"><article>{ARTICLE}</article>{COMMENTS}</div>',
+        f'<div class="content with-sidebar"><article>{ARTICLE}</article></div>{COMMENTS}',
+        f'<div id="page-header-on"><nav><a href="/">the one of us</a></nav><main>{ARTICLE}</main></div>',
+        f'<div id="page-header-on"><div>{ARTICLE}</div></div>',
+        f'<form id="aspnetForm"><div class="menu">The one of us</div><article>{ARTICLE}</article></form>',
+        f'<form id="aspnetForm"><div class="menu">The one of us</div><div>{ARTICLE}</div></form>',
+        f'<form id="f"><div class="page-header-on"><div class="nav">The one of us</div><article>{ARTICLE}</article></div></form>',
+        f'<article>{ARTICLE.replace("<h1>", """<header class="entry-header"><h1>""").replace("</h1>", "</h1></header>")}</article>',
+        f'<article>{ARTICLE.replace("<h1>", """<div class="post-header"><h1>""").replace("</h1>", "</h1></div>")}</article>',
+    ],
+)
+def test_elements_around_the_article_are_not_beside_it(page):
+    assert mainpage.main_text(f"<html><body>{page}<footer>The owner of this</footer></body></html>").split("\n\n") == ARTICLE_TEXT
+
+
+def test_hidden_and_comment_articles_stay_out():
+    assert mainpage.main_text(f"<div hidden><article>{ARTICLE}</article></div>") == ""
+    assert mainpage.main_text(f"<article>{ARTICLE}</article>{COMMENTS}") == "\n\n".join(ARTICLE_TEXT)
+
+
 def test_pages_edges(spark):
     rows_in = [(1, "u", None), (2, "u", ""), (3, None, "<p"), (4, "u", "<article><p>The end of it"), (4, "u", "<div>&lt;b&gt; <!-- x")]
     table = spark.createDataFrame(rows_in, "page_id long, url string, html string").withColumn("text", mainpage.F.lit("old"))
