@@ -22,6 +22,7 @@ BINS = BANDS * ROWS
 KEY, PACKED, GONE = "__patchloom_key", "__patchloom_packed", "__patchloom_gone"
 SEEN = 1_000_000  # line hashes a task remembers, to send a repeated line's keys once
 CHUNK = 1 << 16  # bytes of lines signed at once: their arrays stay in the processor's cache
+_BLANK = " \t\r\x0b\x0c"  # what a line may consist of and be blank: the white space that is joined
 _RAGGED = (b"\t", b"\r", b"\x0b", b"\x0c", b"  ", b" \n", b"\n ")
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -307,7 +308,7 @@ def dedupe_lines(docs: DataFrame) -> DataFrame:
             for packed, nths in zip(batch.column(PACKED).to_pylist(), batch.column(GONE).to_pylist()):
                 text = None if packed is None else unpack(packed)
                 lines = (text or "").split("\n")
-                n_lines.append(sum(1 for x in lines if x and not x.isspace()))
+                n_lines.append(sum(1 for x in lines if x.strip(_BLANK)))
                 n_removed.append(len(nths or ()))
                 if nths:
                     out = set(nths)

@@ -130,6 +130,15 @@ def test_line_edges(spark):
     assert lines.dedupe_lines(docs(spark, [])).count() == 0
 
 
+def test_lines_of_other_white_space_count_as_lines(spark):
+    space = ["\u00a0", "\u2003", "\u3000", "\u0085", "\x1c", " \u00a0\t"]
+    texts = [(1, "\n".join(space)), (2, "a unique line\n\u00a0"), (3, "\u3000"), (4, " \t\r\x0b\x0c\nlast line of it")]
+    got = {r.doc_id: (r.n_lines, r.n_removed) for r in lines.dedupe_lines(docs(spark, texts)).collect()}
+    assert got == {1: (6, 1), 2: (2, 1), 3: (1, 1), 4: (1, 0)}
+    assert all(n == sum(bool(x) for x in lines.normal_lines(t)) for (i, t) in texts for n in [got[i][0]])
+    assert rows(lines.clean_lines(docs(spark, texts)), "doc_id", "text") == [(1, "\n".join(space[:5])), (2, "a unique line"), (4, texts[3][1])]
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(40)] + [(5, 5), (None, 3)]
