@@ -16,9 +16,10 @@ from patchloom.operators.scans import lookup_join
 SHINGLE = 5  # words
 PERCENT = 85  # 100 * intersection >= PERCENT * union
 SKETCH = 64  # smallest hashes kept
-# Two sketches of a link share at least this part of their values, five standard deviations
-# below what is expected at the threshold.
-SHARED = 0.74
+# Two sketches of a link share at least this part of their values. Fewest are shared where one
+# set contains the other: each value of the larger one's sketch is then shared with the chance
+# of the threshold, and this is five standard deviations below.
+SHARED = 0.85 - 5 * (0.85 * 0.15 / SKETCH) ** 0.5
 # A link's estimate from the union sketch is at least this (four deviations below).
 ESTIMATE = 0.67
 

@@ -4,6 +4,9 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
+
 from patchloom.llm import common, lines, neardup, substrings
 from patchloom.llm.common import min_label
 from tests.llm.helpers import EDGE, docs, rows
@@ -94,6 +97,28 @@ def test_near_duplicates_against_brute_force(spark):
     assert kept.columns == docs(spark, []).columns
 
 
+def contained_copies(percent, pairs, seed):
+    """Texts of which each second one is the one before with text appended or cut, and the sketch values they share."""
+    rng = random.Random(seed)
+    out = []
+    for n in range(pairs):
+        words = [f"w{rng.randrange(1 << 40)}" for _ in range(rng.choice([404, 704, 1004]))]
+        few = -(-(percent + n % 3) * (len(words) - 4) // 100) + 4
+        part = words[:few] if n % 2 else words[-few:]
+        both = [" ".join(x) for x in ((words, part) if n % 4 < 2 else (part, words))]
+        a, b = (s[: neardup.SKETCH] for s in neardup.shingle_sets(pa.array(both)))
+        out.append((len(np.intersect1d(a, b)), both))
+    return sorted(out)
+
+
+def test_contained_copies_are_found_with_few_shared_values(spark):
+    found = contained_copies(85, 2400, 5)[:12]
+    assert found[0][0] <= 46  # the former bound found 47 or more
+    texts = [(10 * i + k, t) for i, (_, both) in enumerate(found, 1) for k, t in enumerate(both)]
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs(spark, texts)).collect()}
+    assert got == {d: d - d % 10 for d, _ in texts}
+
+
 def test_near_duplicate_edges(spark):
     got = rows(neardup.near_duplicates(docs(spark, EDGE)), "doc_id", "n_shingles", "component_id", "kept")
     assert (5, 1, 4, False) in got and (4, 1, 4, True) in got and (None, 1, None, True) in got
