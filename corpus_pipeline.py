@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from patchloom.llm import decontaminate, lines, neardup, packing, quality
 from patchloom.llm.common import prepared, shared_folder, table
 
+NEAR_PERCENT = 80  # documents at least so much alike are near-duplicates
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 # Classifying, edit distance and packing are not to be said in SQL.
@@ -28,8 +29,8 @@ def dedupe_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return neardup.drop_near_duplicates(docs)
+    """One document of each group of near-duplicates, 80 % alike or more, stays."""
+    return neardup.drop_near_duplicates(docs, NEAR_PERCENT)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

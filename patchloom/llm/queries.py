@@ -74,7 +74,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(prepared(spark), sf_dir, "documents"))
+    return neardup.near_duplicates(table(prepared(spark), sf_dir, "documents"), percent=85)
 
 
 @query

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 
+import corpus_pipeline
 from patchloom.llm import common, lines, neardup, substrings
 from patchloom.llm.common import min_label
 from tests.llm.helpers import EDGE, docs, rows
@@ -119,6 +120,14 @@ def test_contained_copies_are_found_with_few_shared_values(spark):
     assert got == {d: d - d % 10 for d, _ in texts}
 
 
+def test_pairs_between_80_and_85_percent_at_either_threshold(spark):
+    pairs = [both for _, both in contained_copies(80, 40, 9)]
+    texts = [(10 * i + k, t) for i, both in enumerate(pairs, 1) for k, t in enumerate(both)]
+    apart = neardup.near_duplicates(docs(spark, texts)).where("kept").count()
+    got = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs(spark, texts), "").collect()}
+    assert apart == len(texts) and got == {d for d, _ in texts if d % 10 == 0}
+
+
 def test_near_duplicate_edges(spark):
     got = rows(neardup.near_duplicates(docs(spark, EDGE)), "doc_id", "n_shingles", "component_id", "kept")
     assert (5, 1, 4, False) in got and (4, 1, 4, True) in got and (None, 1, None, True) in got
