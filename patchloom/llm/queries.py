@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchloom.llm import chatformat, decontaminate, lines, mainpage, merkle, neardup, packing, personal, quality, substrings, twins
+from patchloom.llm import bytepair, chatformat, decontaminate, lines, mainpage, merkle, neardup, packing, personal, quality, substrings, twins
 from patchloom.llm.common import prepared, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 PACK_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(fn):
@@ -83,6 +84,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"), F.length("text").cast("long").alias("kept_chars"))
 
 
+@query
+def op11_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytepair.round_trip(table(prepared(spark), sf_dir, "documents"), BYTE_TOKENIZER)
+
+
 SQL["op1_substring_dedup"] = twins.SUBSTRINGS
 SQL["op7_chat_formatting"] = twins.CHATS
 SQL["op8_minhash_near_dedup"] = twins.NEAR_DUPLICATES
