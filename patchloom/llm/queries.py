@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patchloom.llm import bytepair, chatformat, decontaminate, lines, mainpage, merkle, neardup, packing, personal, quality, substrings, twins
+from patchloom.llm import (
+    alignment,
+    bytepair,
+    chatformat,
+    decontaminate,
+    lines,
+    mainpage,
+    merkle,
+    neardup,
+    packing,
+    personal,
+    quality,
+    substrings,
+    twins,
+    whitening,
+)
 from patchloom.llm.common import prepared, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,6 +31,7 @@ SQL: dict[str, str] = {}
 
 PACK_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(fn):
@@ -89,6 +105,17 @@ def op11_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytepair.round_trip(table(prepared(spark), sf_dir, "documents"), BYTE_TOKENIZER)
 
 
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(prepared(spark), sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").cast("long"))  # fails where a long can't hold it
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(prepared(spark), sf_dir, "documents"), BYTE_TOKENIZER, PIECE_TOKENIZER)
+
+
 SQL["op1_substring_dedup"] = twins.SUBSTRINGS
 SQL["op7_chat_formatting"] = twins.CHATS
 SQL["op8_minhash_near_dedup"] = twins.NEAR_DUPLICATES
