@@ -1,9 +1,10 @@
 """Ordered work without a one-task sort: ranks, running values and medians.
 
 A plain window over a key sends all rows of that key to one task, which fails when a
-key holds a large share of the table. The helpers here cut each key's order into
+key holds a large share of the table. The helpers here cut the order of keys and rows into
 blocks, do the window per block, and add what came before a block from a small table
-of block totals. The result is the same as the plain window's.
+of block totals. The result is the same as the plain window's. Blocks are ranges of the
+whole order, one per task and of nearly equal size, unless the caller has better ones.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from patchloom.functions.seeds import SEED, seeded_hash
 # 16**4 = 65,536 block totals at most per set: small enough to broadcast.
 DIGITS = 4
 BROADCAST_DIGITS = 4
+# Rows looked at per block to find where blocks begin.
+SAMPLED = 64
 
 
 def seeded_rank(
@@ -74,42 +77,97 @@ def _combine(fn: str, carry: Column, local: Column) -> Column:
     return F.least(carry, local) if fn == "min" else F.greatest(carry, local)
 
 
+def _range_starts(rows: DataFrame, place: Column, blocks: int) -> Column:
+    """Where the second and later of ``blocks`` ranges of ``place`` begin, as one sorted array.
+
+    A sample by hash of about ``SAMPLED`` different places per block is put in order; the plan
+    counts the rows first, so the sample has a bounded size whatever the table holds.
+    """
+    sides = rows.select(place.alias("_place"))
+    hashed = sides.withColumn("_at", F.pmod(F.xxhash64("_place"), F.lit(1 << 40)))
+    share = F.ceil(F.lit(float(SAMPLED * blocks << 40)) / F.greatest(F.lit(1), rows.agg(F.count("*")).scalar()))
+    seen = hashed.where(F.col("_at") < share).select("_place").distinct()
+    ordered = seen.agg(F.sort_array(F.collect_list("_place")).alias("_all"))
+    size = F.size("_all")
+    picked = F.transform(F.sequence(F.lit(1), F.lit(blocks - 1)), lambda i: F.get("_all", F.floor(i * size / blocks).cast("int")))
+    return ordered.select(F.filter(picked, lambda p: p.isNotNull())).scalar()
+
+
+def range_block(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: str) -> tuple[DataFrame, int]:
+    """Add the number of the range of (keys, order) that a row lies in; also how many there are.
+
+    As many ranges as the session has shuffle partitions, found from the data, so no width has
+    to be known. Rows with the same keys and order share a range.
+    """
+    blocks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if blocks == 1:
+        return df.withColumn(block, F.lit(0)), 1
+    place = F.struct(*[F.col(c) for c in [*keys, *order]])
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range((blocks - 1).bit_length()))])
+    with_starts = df.withColumns({"_starts": _range_starts(df, place, blocks), "_place": place})
+
+    def step(at: Column, size: Column) -> Column:
+        """Binary search: go on by ``size`` if the start there is not beyond the row."""
+        return F.when(F.get("_starts", at + size - 1) <= F.col("_place"), at + size).otherwise(at)
+
+    return with_starts.withColumn(block, F.aggregate(steps, F.lit(0), step)).drop("_starts", "_place"), blocks
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[str | Column],
-    block: Column | str,
+    order: Sequence[str],
+    block: Column | str | None,
     values: Mapping[str, tuple[str, Column]],
     *,
     inclusive: bool = True,
+    keep: str | None = None,
+    dealt: bool = False,
 ) -> DataFrame:
     """Running sum, min or max per key in ``order``, added as new columns.
 
-    ``values`` maps a new column to (function, input). ``block`` must grow with
-    ``order`` (never falls), e.g. ``floor(step / 4096)`` or an hour of a timestamp; it
-    bounds how many rows one task sorts, and does not change the result. A block given as
-    a column name is kept, so that a second scan over it needs no second shuffle. With
-    ``inclusive=False`` the current row is left out.
+    ``values`` maps a new column to (function, input). With ``inclusive=False`` the current
+    row is left out. The work is cut into blocks, which change no result:
+
+    - ``block=None``: ranges of the whole order (keys and order columns), each dealt to a
+      task of its own. Only the first key of a range can have rows in an earlier one, so what
+      came before is at most one row per range, which is broadcast. ``keep`` names a column
+      that keeps the range, for a second scan over the same order without a second shuffle.
+    - a column name with ``dealt``: such a kept range.
+    - a column, or the name of one, that never falls along ``order``: what came before is
+      joined by key and block.
     """
-    keys, kept = list(keys), isinstance(block, str)
-    blk = block if kept else "_blk"
-    blocked = df if kept else df.withColumn(blk, block)
+    keys = list(keys)
+    ranged, parts = dealt or block is None, None
+    kept = isinstance(block, str) or keep is not None
+    blk = block if isinstance(block, str) else keep or "_blk"
+    if block is None:
+        blocked, parts = range_block(df, keys, order, blk)
+    else:
+        blocked = df if isinstance(block, str) else df.withColumn(blk, block)
     totals = blocked.groupBy(*keys, blk).agg(
         *[_fold(fn, col).alias(name) for name, (fn, col) in values.items()]
     )
-    before = Window.partitionBy(*keys).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
+    by_block = Window.partitionBy(*keys).orderBy(blk)
+    before = by_block.rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(
         *keys,
         blk,
         *[_fold(fn, F.col(name)).over(before).alias(f"_c_{name}") for name, (fn, _) in values.items()],
+        F.row_number().over(by_block).alias("_nth"),
     )
+    if ranged:
+        carry = carry.where("_nth > 1")
+    carry = carry.drop("_nth")
+    if parts is not None:
+        blocked = blocked.repartitionById(parts, blk)
     local = (
         Window.partitionBy(*keys, blk)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     )
     scanned = blocked.withColumns({f"_l_{n}": _fold(fn, col).over(local) for n, (fn, col) in values.items()})
-    out = same_keys_join(scanned, carry, [*keys, blk], "left").withColumns(
+    out = same_keys_join(scanned, carry, [*keys, blk], "left", small=ranged).withColumns(
         {n: _combine(fn, F.col(f"_c_{n}"), F.col(f"_l_{n}")) for n, (fn, _) in values.items()}
     )
     helpers = [f"_{side}_{n}" for side in "cl" for n in values]
@@ -162,11 +220,10 @@ def exact_median(
     return seen.groupBy(*keys).agg(((at("_lo") + at("_hi")) / 2).alias(out))
 
 
-def dense_index(df: DataFrame, order: Sequence[str], block: Column, *, out: str = "idx") -> DataFrame:
+def dense_index(df: DataFrame, order: Sequence[str], block: Column | None = None, *, out: str = "idx") -> DataFrame:
     """0-based place of each row in ``order`` over the whole table (order must be unique)."""
     one = F.lit(1).cast("bigint")
-    tagged = df.withColumn("_all", F.lit(0))
-    return running(tagged, ["_all"], order, block, {out: ("sum", one)}, inclusive=False).drop("_all")
+    return running(df, [], order, block, {out: ("sum", one)}, inclusive=False)
 
 
 def same_keys_join(
@@ -181,7 +238,7 @@ def same_keys_join(
     theirs = right.withColumnsRenamed({k: f"_r_{k}" for k in on})
     match = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in on]
     if small:
-        theirs = F.broadcast(theirs)  # at most 16**digits rows, whatever the input size
+        theirs = F.broadcast(theirs)  # 16**digits rows or one per range at most, whatever the input size
     else:
         left = left.withColumn("_key_hash", F.xxhash64(*on))
         theirs = theirs.withColumn("_r_key_hash", F.xxhash64(*[f"_r_{k}" for k in on]))

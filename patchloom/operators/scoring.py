@@ -31,30 +31,20 @@ def assign_tasks(
     *,
     task_col: str = "task_id",
     completion_order: Sequence[str] = KEY,
-    width: int = 65_536,
 ) -> DataFrame:
     """Give each completion its task's columns.
 
     ``by_id`` joins on the task id. ``cyclic`` gives completion i the task i mod n by
     position (completions in ``completion_order``, tasks in id order) and returns the
-    task's id as ``assigned_task_id``. The first order column must be an integer; it is
-    cut into blocks of ``width`` so that no position count runs in one task.
+    task's id as ``assigned_task_id``. Positions are counted over ranges of the order, so
+    neither many completions of one task nor ids that lie close together meet in one task.
     """
     if mode == "by_id":
         return completions.join(tasks, task_col, "left")
     if mode != "cyclic":
         raise ValueError(f"unknown mode {mode!r}")
-
-    def block(column: str) -> Column:
-        return F.floor(F.col(column) / width)
-
-    ranked = dense_index(
-        tasks.withColumnRenamed(task_col, "assigned_task_id"),
-        ["assigned_task_id"],
-        block("assigned_task_id"),
-        out="_slot",
-    )
-    placed = dense_index(completions, completion_order, block(completion_order[0]), out="idx")
+    ranked = dense_index(tasks.withColumnRenamed(task_col, "assigned_task_id"), ["assigned_task_id"], out="_slot")
+    placed = dense_index(completions, completion_order, out="idx")
     n = tasks.agg(F.count("*")).scalar()
     return placed.withColumn("_slot", F.pmod(F.col("idx"), n)).join(ranked, "_slot").drop("_slot")
 
@@ -80,6 +70,12 @@ def with_patch(
     )
 
 
+def fold_logs(outcomes: DataFrame, on: Sequence[str] = KEY) -> DataFrame:
+    """One row (key, passed) per completion; repeated logs count as passed if any did."""
+    logs = outcomes.select(*on, R.log_passed(F.col("stdout")).alias("passed"))
+    return logs.groupBy(*on).agg(F.bool_or("passed").alias("passed"))
+
+
 def with_test_reward(
     completions: DataFrame,
     outcomes: DataFrame,
@@ -88,20 +84,22 @@ def with_test_reward(
     strip_globals: bool = False,
     has_task: Column | None = None,
     on: Sequence[str] = KEY,
+    folded: bool = False,
 ) -> DataFrame:
     """Add the harness reward. Repeated logs of one completion count as passed if any did.
 
     Harness logs shrink to one boolean before they move. The fold of repeated logs
     shuffles by the join key, so the join adds no shuffle of its own on that side.
+    ``folded`` says that ``outcomes`` is the result of ``fold_logs``.
     """
     checked = with_patch(completions, stdlib_only=stdlib_only, strip_globals=strip_globals)
-    passed = (
-        outcomes.select(*on, R.log_passed(F.col("stdout")).alias("passed"))
-        .groupBy(*on)
-        .agg(F.bool_or("passed").alias("passed"))
-    )
-    joined = attach_outcomes(checked, passed, on)
-    return joined.withColumn(
+    passed = outcomes.select(*on, "passed") if folded else fold_logs(outcomes, on)
+    return add_test_reward(attach_outcomes(checked, passed, on), has_task)
+
+
+def add_test_reward(checked: DataFrame, has_task: Column | None = None) -> DataFrame:
+    """``test_reward`` from the columns of ``with_patch`` and ``passed`` (null: no log)."""
+    return checked.withColumn(
         "test_reward",
         R.test_reward(
             F.col("has_patch"),
@@ -132,7 +130,13 @@ def score(
     if outcomes is None:
         nothing = completions.select(*options.get("on", KEY), F.lit(None).cast("string").alias("stdout"))
         outcomes = nothing.where(F.lit(False))
-    scored = with_test_reward(completions, outcomes, **options)
+    return add_reward(with_test_reward(completions, outcomes, **options), mode, w_f=w_f, w_t=w_t)
+
+
+def add_reward(
+    scored: DataFrame, mode: str = "hybrid", *, w_f: float = R.FORMAT_WEIGHT, w_t: float = R.TEST_WEIGHT
+) -> DataFrame:
+    """``reward`` from ``format_reward`` and ``test_reward``."""
     if mode == "test":
         return scored.withColumn("reward", F.col("test_reward"))
     return scored.withColumn(
@@ -188,12 +192,18 @@ def best_of_n(
 
     The pick needs only numbers, so texts move only if the caller joins them back.
     """
-    return (
-        scored.where(F.col(reward) > min_reward)
-        .groupBy(task)
-        .agg(F.min_by(F.struct(gen, reward), F.struct(-F.col(reward), F.col(gen))).alias("_best"))
-        .select(task, f"_best.{gen}", f"_best.{reward}")
-    )
+    best = reward_levels(scored.where(F.col(reward) > min_reward), task, gen, reward)
+    return best.groupBy(task).agg(F.max_by("_gen", "_reward").alias(gen), F.max("_reward").alias(reward))
+
+
+def reward_levels(scored: DataFrame, task: str, gen: str, reward: str) -> DataFrame:
+    """Per task and reward the lowest generation (_gen, _reward): what picks are made from.
+
+    Two plain aggregates of numbers, combined before they move, take the place of one over
+    structs, which Spark can only sort. A reward that is null or not a number is none.
+    """
+    rated = scored.where(F.col(reward).isNotNull() & ~F.isnan(F.col(reward).cast("double")))
+    return rated.groupBy(task, F.col(reward).alias("_reward")).agg(F.min(gen).alias("_gen"))
 
 
 def preference_pairs(
@@ -212,24 +222,21 @@ def preference_pairs(
     (``pair_counts`` reports its size). Completions without a reward are in no pair.
     """
     scored = scored.where(F.col(reward).isNotNull())
-    pick = scored.groupBy(task).agg(
-        F.min_by(F.struct(gen, reward), F.struct(-F.col(reward), F.col(gen))).alias("_c"),
-        F.min_by(F.struct(gen, reward), F.struct(F.col(reward), F.col(gen))).alias("_r"),
+    pick = reward_levels(scored, task, gen, reward).groupBy(task).agg(
+        F.max_by("_gen", "_reward").alias("chosen_gen"),
+        F.max("_reward").alias("chosen_reward"),
+        F.min_by("_gen", "_reward").alias("rejected_gen"),
+        F.min("_reward").alias("rejected_reward"),
     )
-    chosen = [F.col(f"_c.{gen}").alias("chosen_gen"), F.col(f"_c.{reward}").alias("chosen_reward")]
     if how == "best_worst":
-        return pick.where(F.col(f"_c.{reward}") > F.col(f"_r.{reward}")).select(
-            task,
-            *chosen,
-            F.col(f"_r.{gen}").alias("rejected_gen"),
-            F.col(f"_r.{reward}").alias("rejected_reward"),
-        )
+        return pick.where(F.col("chosen_reward") > F.col("rejected_reward"))
     if how != "best_vs_rest":
         raise ValueError(f"unknown pairing {how!r}")
     rejected = scored.select(
         task, F.col(gen).alias("rejected_gen"), F.col(reward).alias("rejected_reward")
     )
-    return lookup_join(rejected, pick.select(task, *chosen), [task], "inner").where(
+    chosen = pick.select(task, "chosen_gen", "chosen_reward")
+    return lookup_join(rejected, chosen, [task], "inner").where(
         F.col("chosen_reward") > F.col("rejected_reward")
     )
 

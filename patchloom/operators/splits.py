@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patchloom.functions.seeds import SEED, hash_share, seeded_hash
@@ -15,6 +15,51 @@ from patchloom.operators.scans import lookup_join, seeded_rank
 TRAIN_SIZE, VAL_SIZE, TEST_SIZE = 200, 50, 100
 
 
+# Leading hex digits of the seeded hash that each round of a search for a cut settles.
+ROUNDS = (4, 8)
+
+
+def seeded_cut(df: DataFrame, key: Sequence[str], take: Callable[[Column], Column], seed: int = SEED) -> Column:
+    """The place (hash, keys) of the last of the first ``take(n)`` rows of the seeded order.
+
+    A histogram of leading digits tells in which bin the cut lies, a second one splits that
+    bin, and the few rows left are put in order. So only counts move (65,536 bins a round at
+    most), and each row can tell by itself whether it lies before the cut. Null if no row does.
+    """
+    keys = [F.col(k) for k in key]
+    rows = df.select(seeded_hash(*keys, seed=seed).alias("_hash"), *keys)
+
+    def find(counts: DataFrame, order: list[str], wanted: Callable[[Column], Column]) -> Column:
+        """Of counted parts of an order, the one that holds the wanted row, and its number there."""
+        everything = Window.orderBy(*order)
+        placed = counts.withColumns(
+            {"_end": F.sum("_n").over(everything), "_all": F.sum("_n").over(Window.partitionBy())}
+        ).withColumn("_want", wanted(F.col("_all")))
+        hit = placed.where((F.col("_want") > F.col("_end") - F.col("_n")) & (F.col("_want") <= F.col("_end")))
+        rest = (F.col("_want") - F.col("_end") + F.col("_n")).alias("rest")
+        return hit.select(F.struct(*order, rest)).scalar()
+
+    wanted, below = take, rows
+    for digits in ROUNDS:
+        part = F.left("_hash", F.lit(digits))
+        counts = below.groupBy(part.alias("_bin")).agg(F.count("*").alias("_n"))
+        found = find(counts, ["_bin"], wanted)
+        below = rows.where(part == found["_bin"])
+        wanted = lambda _, found=found: found["rest"]
+    last = find(below.groupBy("_hash", *keys).agg(F.count("*").alias("_n")), ["_hash", *key], wanted)
+    return F.when(last.isNotNull(), F.struct(last["_hash"].alias("_hash"), *[last[k].alias(k) for k in key]))
+
+
+def before_cut(df: DataFrame, key: Sequence[str], take: Callable[[Column], Column], seed: int = SEED) -> Column:
+    """Whether a row is among the first ``take(n)`` of the seeded order; no row is moved.
+
+    ``key`` must identify a row: rows that share it are taken, or not, together.
+    """
+    keys = [F.col(k) for k in key]
+    place = F.struct(seeded_hash(*keys, seed=seed).alias("_hash"), *keys)
+    return F.coalesce(place <= seeded_cut(df, key, take, seed), F.lit(False))
+
+
 def seeded_order(df: DataFrame, key: Sequence[str], seed: int = SEED) -> DataFrame:
     """Rows in seeded order (a distributed range sort); ``key`` must identify a row."""
     keys = [F.col(k) for k in key]
@@ -66,22 +111,19 @@ def split_fraction(
 ) -> DataFrame:
     """Mark an evaluation share of the rows; 0 marks none.
 
-    Exact: the first ceil(f * n) rows of the seeded order. Otherwise each row decides by
-    its own hash: no shuffle at all, and the share is met in expectation.
+    Exact: the first ceil(f * n) rows of the seeded order, found by counts, so that rows stay
+    where they are. Otherwise each row decides by its own hash, and the share is met in
+    expectation. Neither form shuffles rows.
     """
     if not 0 <= f < 1:
         raise ValueError("the share must be in [0, 1)")
     if f == 0:
         return df.withColumn("split", F.lit("train"))
-    if not exact:
-        keys = [F.col(k) for k in key]
-        chosen = hash_share(seeded_hash(*keys, seed=seed)) < F.lit(f)
-        return df.withColumn("split", F.when(chosen, "eval").otherwise("train"))
-    ranked = seeded_rank(df, key, seed=seed, total="_n")
-    cut = F.ceil(F.lit(f) * F.col("_n"))
-    return ranked.withColumn("split", F.when(F.col("pos") <= cut, "eval").otherwise("train")).drop(
-        "pos", "_n"
-    )
+    if exact:
+        chosen = before_cut(df, key, lambda n: F.ceil(F.lit(f) * n), seed)
+    else:
+        chosen = hash_share(seeded_hash(*[F.col(k) for k in key], seed=seed)) < F.lit(f)
+    return df.withColumn("split", F.when(chosen, "eval").otherwise("train"))
 
 
 def combine_sets(
@@ -101,26 +143,22 @@ def mix(
     """The largest mix with the given share of domain rows, drawn in seeded order.
 
     total = min(floor(domain / share), floor(general / (1 - share))). Quotas are worked
-    out inside the plan from the block counts of the ranking.
+    out inside the plan from two counts; each row then decides by the cut of its set whether it
+    is in the mix, so rows are not shuffled.
     """
     if not 0 < share < 1:
         raise ValueError("the share must be strictly between 0 and 1")
     # exact rational: floor(n / 0.1) must not depend on how 0.1 is stored
     part = Fraction(str(share))
     num, den = part.numerator, part.denominator
-    both = combine_sets({"domain": domain, "general": general})
-    sizes = both.groupBy().agg(
-        F.count_if(F.col("source_set") == "domain").alias("d"),
-        F.count_if(F.col("source_set") == "general").alias("g"),
-    )
-    total = F.least(
-        F.floor(F.col("d") * den / num), F.floor(F.col("g") * den / (den - num))
-    )
-    want = sizes.select(F.floor(total * num / den).alias("q"), total.alias("t"))
-    domain_quota = want.select("q").scalar()
-    general_quota = want.select(F.col("t") - F.col("q")).scalar()
-    quota = F.when(F.col("source_set") == "domain", domain_quota).otherwise(general_quota)
-    return seeded_rank(both, key, seed=seed, within=["source_set"], first=quota).drop("pos")
+    d, g = (df.agg(F.count("*")).scalar() for df in (domain, general))
+    total = F.least(F.floor(d * den / num), F.floor(g * den / (den - num)))
+    quota = F.floor(total * num / den)
+    picked = {
+        "domain": domain.where(before_cut(domain, key, lambda n: quota, seed)),
+        "general": general.where(before_cut(general, key, lambda n: total - quota, seed)),
+    }
+    return combine_sets(picked)
 
 
 def text_key(text: Column) -> list[Column]:

@@ -9,8 +9,6 @@ from patchloom.operators.scans import exact_median, lookup_join, running, same_k
 
 # Checkpoints kept, steps between them, evaluations in a skill search.
 KEEP, SAVE_EVERY, MAX_CALLS = 3, 50, 600
-# Steps that one task puts in order at a time.
-BLOCK_STEPS = 65_536
 
 
 def finite(loss: Column) -> Column:
@@ -66,10 +64,6 @@ def retain_checkpoints(
     return saved.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") <= keep).drop("_rn")
 
 
-def _by_steps(step: str) -> Column:
-    return F.floor(F.col(step) / BLOCK_STEPS)
-
-
 def early_stop(
     metrics: DataFrame,
     patience: int,
@@ -85,18 +79,16 @@ def early_stop(
     the first finite loss always does. A failed evaluation does not improve. Runs that
     never stop are not listed.
     """
-    slim = metrics.select(
-        run, step, finite(F.col(loss)).alias("_loss"), _by_steps(step).alias("_block")
-    )
+    slim = metrics.select(run, step, finite(F.col(loss)).alias("_loss"))
     one = F.lit(1).cast("bigint")
     so_far = {"_best": ("min", F.col("_loss")), "_before": ("sum", one)}
-    seen = running(slim, [run], [step], "_block", so_far, inclusive=False)
+    seen = running(slim, [run], [step], None, so_far, inclusive=False, keep="_block")
     better = F.col("_loss").isNotNull() & (
         F.col("_best").isNull() | (F.col("_loss") < F.col("_best") - F.lit(float(threshold)))
     )
     at = F.col("_before") + 1
     marked = seen.select(run, step, "_block", at.alias("_at"), F.when(better, at).alias("_hit"))
-    waited = running(marked, [run], [step], "_block", {"_last": ("max", F.col("_hit"))})
+    waited = running(marked, [run], [step], "_block", {"_last": ("max", F.col("_hit"))}, dealt=True)
     idle = F.col("_at") - F.coalesce("_last", F.lit(0))
     return waited.where(idle >= patience).groupBy(run).agg(F.min(step).alias("stop_step"))
 
@@ -111,7 +103,7 @@ def median_prune(
 ) -> DataFrame:
     """First step after ``warmup`` where a trial's best so far is over the median of all trials'."""
     slim = metrics.select(trial, step, finite(F.col(loss)).alias("_loss"))
-    best = running(slim, [trial], [step], _by_steps(step), {"_best": ("min", F.col("_loss"))})
+    best = running(slim, [trial], [step], None, {"_best": ("min", F.col("_loss"))})
     after = best.where((F.col(step) > warmup) & F.col("_best").isNotNull()).select(trial, step, "_best")
     medians = exact_median(after, [step], "_best", out="_median")
     return (
@@ -134,12 +126,11 @@ def within_budget(
     """Evaluations of each run, in order, until the budget is used.
 
     Without ``cost`` every evaluation costs one call, and a literal row limit cuts rows
-    before the shuffle. With ``cost`` a running sum is kept per run; ``block`` (rising
-    with the order, by default the hour of the first order column) bounds what one task sorts.
+    before the shuffle. With ``cost`` a running sum is kept per run, over ranges of the order
+    or over the caller's blocks (a column that rises with the order).
     """
     if cost is None:
         place = F.row_number().over(Window.partitionBy(run).orderBy(*order))
         return evals.withColumn("_rn", place).where(F.col("_rn") <= max_calls).drop("_rn")
-    by = F.date_trunc("hour", order[0]) if block is None else block
-    spent = running(evals, [run], list(order), by, {"_spent": ("sum", F.col(cost))})
+    spent = running(evals, [run], list(order), block, {"_spent": ("sum", F.col(cost))})
     return spent.where(F.col("_spent") <= max_calls).drop("_spent")

@@ -1,0 +1,170 @@
+"""Prefix scans over ranges, cuts by hash, and next-fit over blocks: right, even, and without moving texts."""
+
+import datetime
+import hashlib
+import random
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from patchloom.operators import packing as P
+from patchloom.operators import scoring as S
+from patchloom.operators import splits as X
+from patchloom.operators import trials as D
+from patchloom.operators.scans import range_block, running
+from patchloom.streaming.live import idle_sessions
+from tests.helpers import plan_of, tuples
+
+
+@pytest.fixture(params=[1, 3, 16])
+def ranges(spark, request):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(request.param))
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.fixture
+def sixteen(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    yield spark
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def shares(df):
+    """Rows per task."""
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def even(df):
+    n = shares(df)
+    return len(n) > 10 and max(n) < 2 * statistics.median(n)
+
+
+@pytest.mark.parametrize("inclusive", [True, False])
+def test_running_over_ranges(spark, ranges, inclusive):
+    rnd = random.Random(5)
+    sizes = (("hot", 400), ("b", 3), ("c", 1), (None, 30), ("d", 90))
+    rows = [(k, i, rnd.choice([None, rnd.randint(-50, 50)])) for k, n in sizes for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, i int, v int").repartition(5)
+    values = {"s": ("sum", F.col("v")), "lo": ("min", F.col("v")), "hi": ("max", F.col("v"))}
+    out = running(df, ["k"], ["i"], None, values, inclusive=inclusive)
+    assert out.columns == ["k", "i", "v", "s", "lo", "hi"]
+    got = {(r.k, r.i): (r.s, r.lo, r.hi) for r in out.collect()}
+    for k, i, _ in rows:
+        seen = [v for kk, j, v in rows if kk == k and (j <= i if inclusive else j < i) and v is not None]
+        assert got[(k, i)] == (sum(seen), min(seen, default=None), max(seen, default=None))
+
+
+def test_an_empty_table_and_equal_rows(spark, ranges):
+    empty = spark.createDataFrame([], "k string, i int")
+    assert running(empty, ["k"], ["i"], None, {"s": ("sum", F.col("i"))}).count() == 0
+    same = spark.createDataFrame([("a", 1)] * 50, "k string, i int").repartition(4)
+    got = sorted(r.s for r in running(same, ["k"], ["i"], None, {"s": ("sum", F.col("i"))}).collect())
+    assert got == list(range(1, 51))
+
+
+def test_ranges_are_even_and_cost_one_shuffle_of_the_rows(sixteen):
+    # a third of all rows is one key, and all steps lie close together
+    df = sixteen.range(30_000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).alias("k"), F.col("id").alias("i"), F.lit("text").alias("t")
+    )
+    out = running(df, ["k"], ["i"], None, {"n": ("sum", F.lit(1))}, keep="_b")
+    assert even(out)
+    out.collect()
+    plan = plan_of(out).split("Initial Plan")[0]
+    moved = [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line and "Reused" not in line]
+    assert sum("t#" in line or "REPARTITION_BY_NUM" in line for line in moved) == 1
+    blocked, n = range_block(df, ["k"], ["i"], "b")
+    assert n == 16 and {r.b for r in blocked.select("b").distinct().collect()} == set(range(16))
+
+
+def test_one_hour_and_one_task_with_most_rows(sixteen):
+    at = datetime.datetime(2024, 1, 1, 7)
+    base = sixteen.range(20_000, numPartitions=4)
+    seconds = (F.col("id") * 3600 / 20_000).cast("double")  # all in one hour
+    events = base.select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 200).alias("run"),
+        (F.lit(at).cast("timestamp") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))).alias("ts"),
+        F.col("id").alias("run_id"),
+        F.lit(1).alias("cost"),
+    )
+    within = D.within_budget(events, 10**9, cost="cost")
+    assert within.count() == 20_000 and even(within)
+    sessions = idle_sessions(events, ["run"], gap="30 minutes")
+    assert sessions.agg(F.sum("events")).first()[0] == 20_000
+    completions = base.select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 999).alias("task_id"), F.col("id").alias("gen"))
+    tasks = sixteen.range(40).select(F.col("id").alias("task_id"))
+    placed = S.assign_tasks(completions, tasks, "cyclic")
+    got = sorted((r.task_id, r.gen, r.idx, r.assigned_task_id) for r in placed.collect())
+    want = sorted((r.task_id, r.gen) for r in completions.collect())
+    assert [g[:2] for g in got] == want and all(g[2] == i and g[3] == i % 40 for i, g in enumerate(got))
+
+
+def md5(x):
+    return hashlib.md5(f"42:{x}".encode()).hexdigest()
+
+
+@pytest.mark.parametrize("rounds", [(4, 8), (1, 2), ()])
+def test_cuts_by_counts(spark, monkeypatch, rounds):
+    monkeypatch.setattr(X, "ROUNDS", rounds)
+    df = spark.range(700).repartition(5)
+    order = sorted(range(700), key=md5)
+    for n in (0, 1, 350, 700, 900):
+        taken = df.where(X.before_cut(df, ["id"], lambda _, n=n: F.lit(n)))
+        want = order[:n] if n <= 700 else []  # there is no 900th row to cut at
+        assert sorted(r.id for r in taken.collect()) == sorted(want)
+
+
+def test_splits_and_mixes_move_no_text(spark):
+    texts = spark.range(500).select(F.col("id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    split = X.split_fraction(texts, ["id"], 0.2)
+    mixed = X.mix(texts, texts.withColumn("id", F.col("id") + 1000), 0.3, ["id"])
+    for out, n in ((split, 500), (mixed, 714)):
+        assert out.count() == n and len(out.collect()) == n
+        plan = plan_of(out)
+        exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+        assert not any("text" in line for line in exchanges)
+        main = plan.split("Subquery")[0]
+        assert "Exchange" not in main
+
+
+def test_split_of_a_table_with_repeated_and_null_keys(spark):
+    df = spark.createDataFrame([(None,), (1,), (1,), (2,), (3,)], "id bigint").repartition(2)
+    out = X.split_fraction(df, ["id"], 0.5)
+    kept = [r.id for r in out.where("split = 'eval'").collect()]
+    assert out.count() == 5 and 3 <= len(kept) <= 4 and kept.count(1) in (0, 2)
+
+
+def next_fit(rows, max_len):
+    """Serial next-fit over the whole seeded order."""
+    out, seq, fill = {}, 0, 0
+    for key, size in sorted(rows, key=lambda r: (md5(r[0]), r[0])):
+        if fill + size > max_len and fill > 0:
+            seq, fill = seq + 1, 0
+        out[key] = (size, seq, fill)
+        fill += size
+    return out
+
+
+@pytest.mark.parametrize("kind", ["mixed", "ones", "long", "zero"])
+def test_next_fit_over_blocks_is_serial_next_fit(spark, ranges, kind):
+    rnd = random.Random(kind)
+    draw = {
+        "mixed": lambda: rnd.choice([0, 1, 5, 17, 40, 99, 100, 101, 250]),
+        "ones": lambda: 1,
+        "long": lambda: rnd.choice([100, 150, 900]),
+        "zero": lambda: rnd.choice([0, 0, 0, 101, 60]),
+    }[kind]
+    rows = [(i, draw()) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, est_tokens long").repartition(4)
+    got = {r.doc_id: (r.tokens, r.seq, r.offset) for r in P.pack_next_fit(df, 100).collect()}
+    assert got == next_fit(rows, 100)
+
+
+def test_next_fit_of_few_and_no_rows(spark):
+    assert P.pack_next_fit(spark.createDataFrame([], "doc_id long, est_tokens long"), 10).count() == 0
+    one = spark.createDataFrame([(5, None)], "doc_id long, est_tokens long")
+    assert tuples(P.pack_next_fit(one, 10), "doc_id", "tokens", "seq", "offset") == [(5, 0, 0, 0)]

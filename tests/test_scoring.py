@@ -129,7 +129,7 @@ def test_picks_and_pairs(spark):
 def test_assign_tasks(spark):
     c = spark.createDataFrame([(t, g) for t in (10, 20, 30) for g in (0, 1)], "task_id bigint, gen int")
     tasks = spark.createDataFrame([(10, "a"), (20, "b"), (70_000, "c"), (140_000, "d")], "task_id bigint, name string")
-    got = S.assign_tasks(c, tasks, "cyclic", width=7)
+    got = S.assign_tasks(c, tasks, "cyclic")
     order = sorted(got.collect(), key=lambda r: r.idx)
     assert [r.name for r in order] == ["a", "b", "c", "d", "a", "b"]
     assert [r.idx for r in order] == list(range(6))

@@ -65,8 +65,7 @@ def test_semi_and_anti_joins_split_the_hot_key(skewed):
     assert "skew=true" in plan_of(resolved)
 
 
-def test_a_hot_trial_is_worked_on_in_blocks(skewed, monkeypatch):
-    monkeypatch.setattr(D, "BLOCK_STEPS", 500)
+def test_a_hot_trial_is_worked_on_in_blocks(skewed):
     n = 30_000
     rows = skewed.range(n).select(
         F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id") % 50 + 2).alias("trial"),

@@ -51,8 +51,7 @@ def stop_in_python(values, patience, threshold):
 
 
 @pytest.mark.parametrize("patience, threshold", [(3, 0.0), (6, 0.2)])
-def test_early_stop_over_many_blocks(spark, monkeypatch, patience, threshold):
-    monkeypatch.setattr(D, "BLOCK_STEPS", 4)
+def test_early_stop_over_many_blocks(spark, patience, threshold):
     rnd = random.Random(patience)
     runs = {
         f"t{k}": [None if rnd.random() < 0.1 else round(10 / (i + 1) + rnd.random(), 3) for i in range(n)]
