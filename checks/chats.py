@@ -292,3 +292,20 @@ SELECT doc_id, tokens, shard, seq, skip AS "offset" FROM p""",
 def pack_greedy(t: Inputs):
     docs = t.documents.select("doc_id", T.est_tokens(F.col("text")).alias("est_tokens"))
     return P.pack_greedy(docs, 8192, shards=16)
+
+
+@query(
+    f"""
+, d AS (SELECT doc_id, CAST(ceil(length(text) / 4.0) AS BIGINT) AS tokens, md5(concat('42:', doc_id)) AS h FROM documents),
+n AS (SELECT *, row_number() OVER (ORDER BY h, doc_id) AS rn FROM d),
+p AS (SELECT rn, doc_id, tokens, 0::BIGINT AS seq, 0::BIGINT AS skip, tokens AS fill FROM n WHERE rn = 1
+  UNION ALL
+  SELECT n.rn, n.doc_id, n.tokens, CASE WHEN {FULL} THEN p.seq + 1 ELSE p.seq END,
+    CASE WHEN {FULL} THEN 0 ELSE p.fill END, CASE WHEN {FULL} THEN n.tokens ELSE p.fill + n.tokens END
+  FROM p JOIN n ON n.rn = p.rn + 1)
+SELECT doc_id, tokens, seq, skip AS "offset" FROM p""",
+    recursive=True,
+)
+def pack_next_fit(t: Inputs):
+    docs = t.documents.select("doc_id", T.est_tokens(F.col("text")).alias("est_tokens"))
+    return P.pack_next_fit(docs, 8192)

@@ -135,7 +135,6 @@ def fx_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     return (
         table(spark, sf_dir, "orders")
-        .where(key % 2 == 0)
         .select(key.alias("task_id"), F.explode(F.array(F.lit("baseline"), F.lit("skills"))).alias("cond"))
         .withColumn(
             "resolved",
@@ -227,7 +226,7 @@ FROM (SELECT DISTINCT conv_id FROM conversations) c WHERE conv_id % 10 <> 9""",
     "fx_eval": """
 SELECT task_id, cond,
   CASE WHEN cond = 'baseline' THEN task_id % 3 = 0 ELSE task_id % 3 = 0 OR task_id % 5 = 0 END AS resolved
-FROM (SELECT o_orderkey AS task_id, unnest(['baseline', 'skills']) AS cond FROM orders WHERE o_orderkey % 2 = 0)""",
+FROM (SELECT o_orderkey AS task_id, unnest(['baseline', 'skills']) AS cond FROM orders)""",
     "fx_metrics": """
 SELECT user_id AS trial, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS step,
   CASE WHEN user_id % 13 = 0 THEN NULL ELSE value END AS eval_loss, ts

@@ -9,6 +9,7 @@ from patchloom.functions import naming, prompt_texts as T, prompts
 from patchloom.functions.patches import patch_files as files_of
 from patchloom.operators import splits as X
 from patchloom.operators import tasks as K
+from patchloom.operators.scans import dense_index, seeded_rank as rank_of
 
 
 def q(text: str) -> str:
@@ -299,9 +300,15 @@ def assign_batches(t: Inputs):
 
 @query("SELECT task_id, CAST(pos AS BIGINT) AS pos FROM v_order")
 def seeded_order(t: Inputs):
-    from patchloom.operators.scans import seeded_rank
+    ordered = X.seeded_order(t.fx_tasks.select("task_id"), ["task_id"])
+    # the place of a row in the sorted output, counted over ranges
+    placed = dense_index(ordered.withColumn("_at", F.monotonically_increasing_id()), ["_at"], out="pos")
+    return placed.select("task_id", (F.col("pos") + 1).alias("pos"))
 
-    return seeded_rank(t.fx_tasks, ["task_id"]).select("task_id", "pos")
+
+@query("SELECT task_id, CAST(pos AS BIGINT) AS pos FROM v_order")
+def seeded_rank(t: Inputs):
+    return rank_of(t.fx_tasks, ["task_id"]).select("task_id", "pos")
 
 
 SPLIT = "SELECT task_id, CASE WHEN pos <= 200 THEN 'train' WHEN pos <= 250 THEN 'val' ELSE 'test' END AS split FROM v_order WHERE pos <= 350"
