@@ -9,7 +9,6 @@ a row of the product is the sum of the right side's rows that the left row marks
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,10 +25,7 @@ from patchloom.llm.common import prepared, slices, written
 from patchloom.operators.scans import lookup_join
 
 BLOCK_LINKS = 1_500_000  # distinct (document, pair) entries that a block of documents holds
-PRODUCT_TERMS = 2_000_000  # terms of a product worked on at a time
-CACHE_WORDS = 400_000  # words whose pieces a worker keeps before it starts anew
-LONG_WORD = 200  # longer words are not kept
-_WORD = re.compile(" +[^ ]*")
+PRODUCT_TERMS = 500_000  # terms of a product worked on at a time
 COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_group_links")
 
 
@@ -96,57 +92,26 @@ def group_incidence(sizes: np.ndarray, cuts: np.ndarray) -> Csr:
 
 
 class PieceEncoder:
-    """Ids of a sentencepiece model word by word, with the bytes of each piece.
-
-    Where the model adds a space in front, changes nothing in a text and has no piece with a
-    space behind another sign, its merges never cross into a run of spaces, and a text's
-    pieces are those of its words. Other models encode whole texts.
-    """
+    """Ids of a sentencepiece model, with the bytes of each piece."""
 
     def __init__(self, path: str):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        size = self.model.get_piece_size()
-        pieces = [self.model.id_to_piece(i) for i in range(size)]
+        pieces = map(self.model.id_to_piece, range(self.model.get_piece_size()))
         self.tokens = [
             bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else b"" if self.model.is_control(i) else p.replace("▁", " ").encode()
             for i, p in enumerate(pieces)
         ]
-        probe = " ﬁ①　é\t x  "
-        self.by_words = self.model.normalize(probe) == "▁" + probe.replace(" ", "▁") and not any("▁" in p.lstrip("▁") for p in pieces)
-        self.space = self.model.piece_to_id("▁")
-        self.words: dict[str, tuple[bytes, bool]] = {}
 
-    def _encoded(self, texts: list[str]) -> list[tuple[bytes, bool]]:
-        """Ids of each text, and whether their bytes are the text with a space in front."""
+    def encode(self, texts: list[str]) -> list[bytes | None]:
+        """Ids as little-endian 32-bit values; None where their bytes are not space + text."""
         out = []
         for text, ids in zip(texts, self.model.encode(texts, num_threads=1)):
-            ids = ids or [self.space]  # of an empty text the model makes nothing, of a last space one piece
-            joined = b"".join([self.tokens[i] for i in ids])
-            out.append((np.array(ids, dtype="<u4").tobytes(), joined == b" " + text.encode()))
+            exact = b"".join(map(self.tokens.__getitem__, ids)) == b" " + text.encode()
+            out.append(np.array(ids, dtype="<u4").tobytes() if exact else None)
         return out
 
-    def encode(self, text: str) -> bytes | None:
-        """Ids as little-endian 32-bit values; None where their bytes are not space + text."""
-        if not self.by_words:
-            ids, exact = self._encoded([text])[0]
-            return ids if exact else None
-        words, known = _WORD.findall(" " + text), self.words
-        found = list(map(known.get, words))
-        if None in found:
-            new = sorted({w for w, f in zip(words, found) if f is None})
-            if len(known) > CACHE_WORDS:
-                known.clear()
-            made = dict(zip(new, self._encoded([w[1:] for w in new])))
-            known.update((w, f) for w, f in made.items() if len(w) <= LONG_WORD)
-            found = [made[w] if f is None else f for w, f in zip(words, found)]
-        ids = b"".join([i for i, _ in found])
-        if not all([exact for _, exact in found]):
-            back = b"".join([self.tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
-            return ids if back == b" " + text.encode() else None
-        return ids
-
 
 @dataclass
 class Aligned:
@@ -179,11 +144,8 @@ class Aligner:
         self.decimals = pa.array(map(str, range(most)), pa.string())
 
     def align(self, texts: list[str | None]) -> Aligned:
-        ids_a, ids_b = [], []
-        for text in texts:
-            b = self.b.encode(text) if text else None
-            ids_b.append(b or b"")
-            ids_a.append(self.a.encode(" " + text) if b else b"")
+        ids_b = [ids if text and ids else b"" for text, ids in zip(texts, self.b.encode([t or "" for t in texts]))]
+        ids_a = [self.a.encode(" " + text) if b else b"" for text, b in zip(texts, ids_b)]
         ids = tuple(np.frombuffer(b"".join(x), dtype="<u4").astype(np.int64) for x in (ids_a, ids_b))
         first = tuple(np.cumsum([0, *map(len, x)]) // 4 for x in (ids_a, ids_b))
         size_a, size_b = (s[i] for s, i in zip(self.sizes, ids))
