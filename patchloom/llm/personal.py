@@ -19,8 +19,6 @@ KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("remove", "generalise")
 WINDOW = 4  # words on either side of a mention
 REMOVE_AT, GENERALISE_AT = 0.95, 0.80  # share of an entity's information a term discloses
-# Terms counted by a set sent to all tasks, at most; more are counted through a shuffle.
-BROADCAST_TERMS = 200_000
 HELD_COUNTS = 500_000  # counts of slices a task holds before it merges and sends them
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -145,45 +143,38 @@ def find_entities(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    """Counts per term of several slices as one batch of rows (term, n)."""
+def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts per term of several slices as one."""
     values, at = np.unique(np.concatenate([v for v, _ in held]), return_inverse=True)
-    sums = np.zeros(len(values), dtype=np.int64)
-    np.add.at(sums, at, np.concatenate([n for _, n in held]))
-    return pa.RecordBatch.from_arrays([pa.array(values), pa.array(sums)], ["term", "n"])
+    return values, np.bincount(at, np.concatenate([n for _, n in held]), len(values)).astype(np.int64)
+
+
+def _counts(held: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in held], ["term", "n"])
 
 
 def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """How often each of ``terms`` occurs in all texts: rows (term, n).
 
-    A set of bounded size goes to the tasks, which then send a count per term; a larger one
-    is joined to the counts of all terms per task instead.
+    Tasks count all terms they meet, in bounded tables, and send each once with its count, so
+    what moves are the vocabularies of tasks at any size; the terms wanted are picked from
+    the sums. Nothing is broadcast.
     """
-    spark = docs.sparkSession
-    few = terms.limit(BROADCAST_TERMS + 1).toPandas()["term"].to_numpy()
-    wanted = spark.sparkContext.broadcast(np.sort(few)) if len(few) <= BROADCAST_TERMS else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(len(wanted.value), dtype=np.int64) if wanted else None
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in slices(batches, "text"):
             hashes, _ = term_hashes(batch.column("text"))
-            if wanted is None:
-                held.append(np.unique(hashes, return_counts=True))
-                if sum(len(v) for v, _ in held) > HELD_COUNTS:
-                    yield _merged(held)
-                    held = []
-            elif len(wanted.value):
-                at = np.minimum(np.searchsorted(wanted.value, hashes), len(wanted.value) - 1)
-                sums += np.bincount(at[wanted.value[at] == hashes], minlength=len(sums))
+            held.append(np.unique(hashes, return_counts=True))
+            if sum(len(v) for v, _ in held) > 2 * HELD_COUNTS:
+                held = [_merged(held)]
+                if len(held[0][0]) > HELD_COUNTS:
+                    yield _counts(held.pop())
         if held:
-            yield _merged(held)
-        if wanted is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(wanted.value[sums > 0]), pa.array(sums[sums > 0])], ["term", "n"])
+            yield _counts(_merged(held))
 
     counts = docs.select("text").mapInArrow(run, "term long, n long")
-    counts = counts.groupBy("term").agg(F.sum("n").alias("n"))
-    return counts if wanted else counts.join(terms, "term", "left_semi")
+    return lookup_join(counts.groupBy("term").agg(F.sum("n").alias("n")), terms, ["term"], "left_semi")
 
 
 def disclosing_terms(found: DataFrame, docs: DataFrame) -> DataFrame:
