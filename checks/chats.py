@@ -163,10 +163,12 @@ def quality_report(t: Inputs):
 
 @query(
     """SELECT count(*) AS examples, 1::BIGINT AS files, CASE WHEN count(*) < 300 THEN 'small' WHEN count(*) <= 999 THEN 'medium' ELSE 'large' END AS size_class,
-  count(*) < 100 AS under_minimum FROM conversations"""
+  count(*) < 100 AS under_minimum FROM (SELECT DISTINCT conv_id FROM conversations)"""
 )
 def dataset_profile(t: Inputs):
-    return H.dataset_profile(t.conversations)
+    # a conversation is one example, wherever its turns lie
+    examples = t.conversations.groupBy("conv_id").agg(F.min("_metadata.file_path").alias("file"))
+    return H.dataset_profile(examples, F.col("file"))
 
 
 @query(
@@ -185,6 +187,14 @@ def truncate_middle(t: Inputs):
     return t.documents.select("doc_id", T.truncate_middle(F.col("text")).alias("text"))
 
 
+@query(f"SELECT doc_id, lang, CASE WHEN length(text) > 4000 THEN {CUT} ELSE text END AS trace FROM documents")
+def cut_trace(t: Inputs):
+    outputs = F.struct(F.col("text").alias("Agent Trace"), F.col("lang").alias("Language"))
+    records = t.documents.select("doc_id", F.struct(F.col("source"), outputs.alias("Generated Outputs")).alias("info"))
+    cut = records.select("doc_id", T.cut_trace(F.col("info"))["Generated Outputs"].alias("outputs"))
+    return cut.select("doc_id", F.col("outputs.Language").alias("lang"), F.col("outputs")["Agent Trace"].alias("trace"))
+
+
 @query(
     "SELECT doc_id, CASE WHEN length(text) > 3000 THEN concat(left(text, 3000), chr(10), '... [truncated]') ELSE text END AS text FROM documents"
 )
@@ -261,6 +271,21 @@ def split_leaks(t: Inputs):
     return X.split_leaks(held, train).select("doc_id")
 
 
+@query(
+    f"""
+, para AS (SELECT doc_id, unnest(range(len(p))) AS position, unnest(list_transform(p, lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g'))) AS text
+  FROM (SELECT doc_id, string_split(body, concat(chr(10), chr(10))) AS p FROM fx_corpus))
+SELECT doc_id, position FROM para WHERE text <> '' AND (text IN (SELECT text FROM benchmark)
+  OR text IN (SELECT text FROM documents WHERE {HELD}))"""
+)
+def paragraph_leaks(t: Inputs):
+    """Paragraphs that stand in a benchmark, or as a held-out document, word for word."""
+    parts = X.split_fraction(t.documents.select("doc_id", "text"), ["doc_id"], 0.15, exact=False)
+    paragraphs = T.split_paragraphs(t.fx_corpus)
+    leaks = X.split_leaks(paragraphs, t.benchmark.select("text"), parts.where("split = 'eval'"))
+    return leaks.select("doc_id", "position")
+
+
 @query(
     """
 , n AS (SELECT doc_id, CAST(ceil(length(text) / 4.0) AS BIGINT) AS len, md5(concat('42:', doc_id)) AS h FROM documents WHERE length(text) > 0),

@@ -282,6 +282,22 @@ def combine_bugs(t: Inputs):
     return out.select("repo", "instance_id", "patch", F.array_join("FAIL_TO_PASS", "|").alias("tests"))
 
 
+@query(
+    "SELECT repo, count(*) AS bugs, 0::BIGINT AS twice, 0::BIGINT AS sharing "
+    "FROM fx_tasks k JOIN v_valid v ON k.task_id = v.task_id GROUP BY repo"
+)
+def matched_bugs(t: Inputs):
+    """Bugs of each repository, and what no pair may be: of one bug with two others, or of shared files."""
+    tasks = K.task_instances(t.fx_tasks, t.fx_test_results)
+    pairs = K.match_bugs(tasks)
+    both = files_of(F.col("patch"))
+    sharing = F.count_if(F.size(both) > F.size(F.array_distinct(both)))
+    used = pairs.select("repo", F.explode("members").alias("m")).groupBy("repo", "m").agg(F.count("*").alias("n"))
+    twice = used.groupBy("repo").agg(F.count_if(F.col("n") > 1).alias("twice"))
+    bugs = tasks.groupBy("repo").agg(F.count("*").alias("bugs"))
+    return bugs.join(twice, "repo", "left").join(pairs.groupBy("repo").agg(sharing.alias("sharing")), "repo", "left")
+
+
 @query(
     "SELECT c.task_id, c.gen, c.shape FROM fx_completions c "
     "ANTI JOIN fx_outcomes o ON c.task_id = o.task_id AND c.gen = o.gen"

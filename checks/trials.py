@@ -9,6 +9,7 @@ from patchloom.operators import reports as R
 from patchloom.operators import tasks as K
 from patchloom.operators import trials as D
 from patchloom.operators.chats import select_resolved
+from patchloom.operators.splits import split_exact
 
 view(
     "v_trials",
@@ -34,6 +35,15 @@ def best_trial(t: Inputs):
     return D.best_trial(trials(t))
 
 
+@query(
+    "SELECT trial, eval_loss, CAST(rank AS VARCHAR) AS rank, CAST(lr AS VARCHAR) AS lr FROM v_trials "
+    "WHERE eval_loss IS NOT NULL ORDER BY eval_loss, trial LIMIT 1"
+)
+def best_trial_params(t: Inputs):
+    best = D.best_trial(trials(t), keep=["params"])
+    return best.select("trial", "eval_loss", *[F.col("params")[k].alias(k) for k in ("rank", "lr")])
+
+
 @query(
     """
 , long AS (SELECT 'rank' AS param, CAST(rank AS VARCHAR) AS value, eval_loss AS l FROM v_trials WHERE eval_loss IS NOT NULL
@@ -187,3 +197,13 @@ FROM fx_eval GROUP BY cond ORDER BY mean_score DESC, cond LIMIT 1"""
 def best_candidate(t: Inputs):
     scored = t.fx_eval.withColumn("score", F.col("resolved").cast("double"))
     return R.best_candidate(scored).withColumn("mean_score", F.round("mean_score", 6))
+
+
+@query(
+    """SELECT cond, round(avg(CASE WHEN resolved THEN 1.0::DOUBLE ELSE 0 END), 6) AS mean_score, count(*) AS evals
+FROM fx_eval JOIN v_order USING (task_id) WHERE pos > 200 AND pos <= 250 GROUP BY cond ORDER BY mean_score DESC, cond LIMIT 1"""
+)
+def best_candidate_val(t: Inputs):
+    splits = split_exact(t.fx_tasks, ["task_id"]).select("task_id", "split")
+    scored = t.fx_eval.join(splits, "task_id").withColumn("score", F.col("resolved").cast("double"))
+    return R.best_candidate(scored, split="val").withColumn("mean_score", F.round("mean_score", 6))

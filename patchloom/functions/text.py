@@ -42,6 +42,18 @@ def truncate_middle(col: Column, cap: int = TRACE_CAP) -> Column:
     ).otherwise(col)
 
 
+def cut_trace(info: Column, cap: int = TRACE_CAP) -> Column:
+    """A side record with the agent's trace inside it cut in the middle; nothing else changes.
+
+    The record is a struct that holds the struct ``Generated Outputs`` with the text ``Agent
+    Trace``. A null record, or one without outputs or trace, stays as it is.
+    """
+    outputs = info["Generated Outputs"]
+    trace = truncate_middle(outputs["Agent Trace"], cap)
+    cut = info.withField("`Generated Outputs`", outputs.withField("`Agent Trace`", trace))
+    return F.when(outputs["Agent Trace"].isNotNull(), cut).otherwise(info)
+
+
 def cap_text(col: Column, cap: int = FEEDBACK_CAP) -> Column:
     """Keep the first cap characters of longer text and mark the cut."""
     return F.when(

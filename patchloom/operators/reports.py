@@ -83,7 +83,15 @@ def cost_summary(
     )
 
 
-def best_candidate(evals: DataFrame, *, candidate: str = "cond", score: str = "score") -> DataFrame:
-    """Candidate with the best mean score; ties go to the first name."""
-    means = evals.groupBy(candidate).agg(F.avg(score).alias("mean_score"), F.count("*").alias("evals"))
+def best_candidate(
+    evals: DataFrame,
+    *,
+    candidate: str = "cond",
+    score: str = "score",
+    split: str | None = None,
+    split_col: str = "split",
+) -> DataFrame:
+    """Candidate with the best mean score, over one split if named; ties go to the first name."""
+    rows = evals if split is None else evals.where(F.col(split_col) == split)
+    means = rows.groupBy(candidate).agg(F.avg(score).alias("mean_score"), F.count("*").alias("evals"))
     return means.orderBy(F.col("mean_score").desc(), candidate).limit(1)

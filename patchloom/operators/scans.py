@@ -174,25 +174,32 @@ def running(
     return out.drop(*helpers) if kept else out.drop(blk, *helpers)
 
 
+def counted(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """How often each value occurs per key: keys, _v, _n. Null values are left out."""
+    return df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+
+
 def exact_median(
     df: DataFrame, keys: Sequence[str], value: str, *, out: str = "median", cuts: int = 64
 ) -> DataFrame:
-    """Exact median of ``value`` per key (nulls left out), safe for one huge key.
+    """Exact median of ``value`` per key (nulls left out), safe for one huge key."""
+    return median_of_counts(counted(df, keys, value), keys, out=out, cuts=cuts)
+
 
-    An approximate quantile sketch per key gives cut points; counts between the cuts
-    say which pieces hold the two middle values; only those pieces are looked at in
-    detail, and equal values are counted before they move.
+def median_of_counts(freq: DataFrame, keys: Sequence[str], *, out: str = "median", cuts: int = 64) -> DataFrame:
+    """Exact median per key of a table of counted values (keys, _v, _n).
+
+    Every step works on the counts, whose one shuffle Spark reuses: a quantile sketch of the
+    values per key gives cut points, counts between the cuts say which pieces hold the two
+    middle values, and only those pieces are looked at in detail.
     """
     keys = list(keys)
-    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     points = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
-    cut = rows.groupBy(*keys).agg(F.percentile_approx("_v", points, 10_000).alias("_cuts"))
-    pieces = same_keys_join(rows, cut, keys, "inner").select(
-        *keys, "_v", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_piece")
+    cut = freq.groupBy(*keys).agg(F.percentile_approx("_v", points, 10_000).alias("_cuts"))
+    pieces = same_keys_join(freq, cut, keys, "inner").select(
+        *keys, "_v", "_n", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_piece")
     )
-    # one row per key and distinct value: this is the only large shuffle
-    freq = pieces.groupBy(*keys, "_piece", "_v").agg(F.count("*").alias("_n"))
-    sizes = pieces.groupBy(*keys, "_piece").agg(F.count("*").alias("_m"))
+    sizes = pieces.groupBy(*keys, "_piece").agg(F.sum("_n").alias("_m"))
     per_key = Window.partitionBy(*keys)
     before = per_key.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     wanted = (
@@ -209,7 +216,7 @@ def exact_median(
         .drop("_m", "_all")
     )
     in_piece = Window.partitionBy(*keys, "_piece").orderBy("_v")
-    seen = same_keys_join(freq, wanted, [*keys, "_piece"], "inner").withColumn(
+    seen = same_keys_join(pieces, wanted, [*keys, "_piece"], "inner").withColumn(
         "_end", F.col("_start") + F.sum("_n").over(in_piece)
     )
 
@@ -220,6 +227,25 @@ def exact_median(
     return seen.groupBy(*keys).agg(((at("_lo") + at("_hi")) / 2).alias(out))
 
 
+def group_head(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int) -> DataFrame:
+    """The first ``limit`` rows of each key in ``order``, in two stages.
+
+    Rows are counted per key and range of the order; ranges of a key that begin past the limit
+    are dropped where they are read (only the first key of a range can be such, so a row per
+    range is broadcast at most). What is ranked then is the limit and one range per key at
+    most, and a row number against a literal cuts that again in every task before it moves.
+    """
+    keys = list(keys)
+    blocked, _ = range_block(df, keys, order, "_blk")
+    totals = blocked.groupBy(*keys, "_blk").agg(F.count("*").alias("_rows"))
+    by_block = Window.partitionBy(*keys).orderBy("_blk")
+    before = totals.withColumn("_start", F.sum("_rows").over(by_block.rowsBetween(Window.unboundedPreceding, -1)))
+    past = before.where(F.col("_start") >= limit).select(*keys, "_blk")
+    near = same_keys_join(blocked, past, [*keys, "_blk"], "left_anti", small=True)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return near.withColumn("_rn", place).where(F.col("_rn") <= limit).drop("_rn", "_blk")
+
+
 def dense_index(df: DataFrame, order: Sequence[str], block: Column | None = None, *, out: str = "idx") -> DataFrame:
     """0-based place of each row in ``order`` over the whole table (order must be unique)."""
     one = F.lit(1).cast("bigint")

@@ -165,12 +165,19 @@ def text_key(text: Column) -> list[Column]:
     return [F.sha2(text, 256), F.char_length(text)]
 
 
-def split_leaks(a: DataFrame, b: DataFrame, text: str = "text") -> DataFrame:
-    """Rows of ``a`` whose text is also in ``b``. Texts are compared by digest and length."""
+def split_leaks(a: DataFrame, *others: DataFrame, text: str = "text") -> DataFrame:
+    """Rows of ``a`` whose text is also in one of the other sets. Texts are compared by digest and length."""
+
+    def keyed(df: DataFrame) -> DataFrame:
+        digest, size = text_key(F.col(text))
+        return df.select(digest.alias("_digest"), size.alias("_size")).distinct()
+
+    seen = keyed(others[0])
+    for df in others[1:]:
+        seen = seen.union(keyed(df))
     digest, size = text_key(F.col(text))
-    seen = b.select(digest.alias("_digest"), size.alias("_size")).distinct()
     tagged = a.withColumns({"_digest": digest, "_size": size})
-    return lookup_join(tagged, seen, ["_digest", "_size"], "left_semi").drop("_digest", "_size")
+    return lookup_join(tagged, seen.distinct(), ["_digest", "_size"], "left_semi").drop("_digest", "_size")
 
 
 def unused(tasks: DataFrame, splits: DataFrame, on: Sequence[str] = ("task_id",)) -> DataFrame:

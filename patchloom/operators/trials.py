@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from patchloom.operators.scans import exact_median, lookup_join, running, same_keys_join
+from patchloom.operators.scans import counted, exact_median, group_head, lookup_join, median_of_counts, running, same_keys_join
 
 # Checkpoints kept, steps between them, evaluations in a skill search.
 KEEP, SAVE_EVERY, MAX_CALLS = 3, 50, 600
@@ -16,24 +18,33 @@ def finite(loss: Column) -> Column:
     return F.when(F.abs(loss) < F.lit(float("inf")), loss)
 
 
-def best_trial(trials: DataFrame, *, trial: str = "trial", loss: str = "eval_loss") -> DataFrame:
-    """The trial of least loss; failed trials never win, ties go to the lowest number."""
+def best_trial(
+    trials: DataFrame, *, trial: str = "trial", loss: str = "eval_loss", keep: Sequence[str] = ()
+) -> DataFrame:
+    """The trial of least loss; failed trials never win, ties go to the lowest number.
+
+    ``keep`` names columns of the winner to return as well, such as its parameters.
+    """
     done = trials.withColumn("_loss", finite(F.col(loss))).where(F.col("_loss").isNotNull())
-    best = done.agg(F.min(F.struct(F.col("_loss"), F.col(trial))).alias("_b"))
-    return best.where(F.col("_b").isNotNull()).select(
-        F.col(f"_b.{trial}").alias(trial), F.col("_b._loss").alias(loss)
-    )
+    columns = F.struct(trial, F.col("_loss").alias(loss), *keep)
+    best = done.agg(F.min_by(columns, F.struct("_loss", trial)).alias("_b"))
+    return best.where(F.col("_b").isNotNull()).select("_b.*")
 
 
 def param_effects(trials: DataFrame, *, params: str = "params", loss: str = "eval_loss") -> DataFrame:
-    """Loss per parameter value over finished trials: count, least, mean, median."""
+    """Loss per parameter value over finished trials: count, least, mean, median.
+
+    All four come from one table of counted losses, so trials are read and spread out once.
+    """
     rows = trials.withColumn("_loss", finite(F.col(loss))).where(F.col("_loss").isNotNull())
-    long = rows.select(F.explode(params).alias("param", "value"), F.col("_loss").alias("loss"))
-    stats = long.groupBy("param", "value").agg(
-        F.count("*").alias("trials"), F.min("loss").alias("min_loss"), F.avg("loss").alias("mean_loss")
+    long = rows.select(F.explode(params).alias("param", "value"), "_loss")
+    keys = ["param", "value"]
+    freq = counted(long, keys, "_loss")
+    n = F.sum("_n")
+    stats = freq.groupBy(*keys).agg(
+        n.alias("trials"), F.min("_v").alias("min_loss"), (F.sum(F.col("_v") * F.col("_n")) / n).alias("mean_loss")
     )
-    medians = exact_median(long, ["param", "value"], "loss", out="median_loss")
-    return same_keys_join(stats, medians, ["param", "value"], "inner")
+    return same_keys_join(stats, median_of_counts(freq, keys, out="median_loss"), keys, "inner")
 
 
 def best_checkpoint(
@@ -125,12 +136,11 @@ def within_budget(
 ) -> DataFrame:
     """Evaluations of each run, in order, until the budget is used.
 
-    Without ``cost`` every evaluation costs one call, and a literal row limit cuts rows
-    before the shuffle. With ``cost`` a running sum is kept per run, over ranges of the order
+    Without ``cost`` every evaluation costs one call: ranges of a run past the budget are
+    dropped where they are read, and only the rest is ranked. With ``cost`` a running sum is kept per run, over ranges of the order
     or over the caller's blocks (a column that rises with the order).
     """
     if cost is None:
-        place = F.row_number().over(Window.partitionBy(run).orderBy(*order))
-        return evals.withColumn("_rn", place).where(F.col("_rn") <= max_calls).drop("_rn")
+        return group_head(evals, [run], list(order), max_calls)
     spent = running(evals, [run], list(order), block, {"_spent": ("sum", F.col(cost))})
     return spent.where(F.col("_spent") <= max_calls).drop("_spent")

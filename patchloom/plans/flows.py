@@ -15,6 +15,17 @@ from patchloom.operators.scans import lookup_join
 from patchloom.operators.scoring import group_advantage, preference_pairs, score
 from patchloom.operators.splits import split_exact, split_fraction
 from patchloom.operators.tasks import task_instances, transition_lists
+from patchloom.session import materialize
+
+__all__ = [
+    "chat_training_set",
+    "group_scores",
+    "materialize",
+    "preference_set",
+    "repair_prompts",
+    "skill_split",
+    "synthesized_tasks",
+]
 
 
 def synthesized_tasks(candidates: DataFrame, results: DataFrame, **options) -> DataFrame:
@@ -105,17 +116,3 @@ def skill_split(
         picked = picked.join(named, "task_id", "left")
     return fill_problem_statement(picked)
 
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write a result that several later jobs read, and cut its lineage.
-
-    Uses the shared checkpoint folder the cluster names, so that a lost executor costs a
-    read and not a recomputation.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        base = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            raise ValueError("set spark.checkpoint.dir to a shared folder")
-        context.setCheckpointDir(base)
-    return df.checkpoint()

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Skewed joins are split at run time even when a later step wants the same
 # partitioning: an extra shuffle costs less than one task holding a third of the rows.
@@ -66,3 +68,19 @@ def tune(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a result that several later jobs read, and cut its lineage.
+
+    Uses the shared checkpoint folder the cluster names, so that a lost executor costs a
+    read and not a recomputation. Only a local session without one gets a temporary folder.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        base = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a shared folder")
+            base = tempfile.mkdtemp(prefix="patchloom-")
+        context.setCheckpointDir(base)
+    return df.checkpoint()

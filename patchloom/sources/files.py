@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patchloom.functions.text import strip
 from patchloom.operators.scans import running
+from patchloom.sources.sinks import PREDICTIONS, PREFERENCES, plain_and_runs, run_folders
 
 TASK_SCHEMA = (
     "instance_id string, repo string, patch string, problem_statement string, hints_text string, "
@@ -31,23 +32,73 @@ def _is_directory(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(target).isDirectory()
 
 
-def _json_lines(spark: SparkSession, path: str, schema: str, glob: str, **options: str) -> DataFrame:
+def _json_lines(spark: SparkSession, path: str | list[str], schema: str, glob: str, **options: str) -> DataFrame:
     """Splittable JSON lines; blank lines are skipped and a bad line fails the read."""
     return spark.read.options(mode="FAILFAST", pathGlobFilter=glob, **options).schema(schema).json(path)
 
 
-def _json_documents(spark: SparkSession, path: str, schema: str, glob: str, **options: str) -> DataFrame:
+def _json_documents(spark: SparkSession, path: str, schema: str, glob: str = "*", **options: str) -> DataFrame:
     """Rows of JSON files that are one list of rows, or one object whose values are the rows.
 
-    A single JSON value cannot be split, so each such file is parsed by one task; JSON
-    lines are the form to use for large sets.
+    A single JSON value has no line to be split at, but it has braces: files are read in splits
+    as records that end with one. Whether a record begins inside a string is the parity of the
+    quotes before it, and how deep it lies is a sum of braces outside strings, so sums over
+    splits tell where each row ends, and only its own records are put together. A file of any
+    size is read by as many tasks as it has splits. A row that cannot be parsed, and what is
+    left over of a file that does not end as it should, fail the read.
     """
-    files = spark.read.options(pathGlobFilter=glob, **options).text(path, wholetext=True)
-    body, fail = F.ltrim("value"), {"mode": "FAILFAST"}
-    listed = F.from_json(body, f"array<struct<{_struct(schema)}>>", fail)
-    keyed = F.map_values(F.from_json(body, f"map<string,struct<{_struct(schema)}>>", fail))
-    rows = F.when(strip(F.col("value")).startswith("["), listed).otherwise(keyed)
-    return files.select("*", "_metadata.file_path").select("file_path", F.inline(rows))
+    text = spark.read.options(pathGlobFilter=glob, lineSep="}", **options).text(path)
+    plain = F.regexp_replace("value", r"(?s)\\.", "")
+    quotes = F.regexp_count(plain, F.lit('"')).cast("bigint")
+
+    def structure(inside: int) -> Column:
+        """Braces opened less closed, and whether the record's own brace closes, from either state."""
+        ends_inside = (quotes + inside) % 2
+        closed = F.concat(F.lit('"' * inside), plain, F.when(ends_inside == 1, '"').otherwise(""))
+        opened = F.regexp_count(F.regexp_replace(closed, '"[^"]*"', ""), F.lit(r"\{"))
+        return F.struct((opened - 1 + ends_inside).cast("bigint").alias("depth"), (ends_inside == 0).alias("closes"))
+
+    records = text.select(
+        "value",
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.col("_metadata.file_size").alias("file_size"),
+        F.monotonically_increasing_id().alias("line"),  # rises within a split
+        quotes.alias("quotes"),
+        structure(0).alias("outside"),
+        structure(1).alias("inside"),
+    )
+
+    def scan(rows: DataFrame, values: dict, inclusive: bool) -> DataFrame:
+        # what comes before a split is one row per split, which is broadcast
+        return running(rows, ["file_path"], ["start", "line"], "start", values, inclusive=inclusive, dealt=True)
+
+    one = F.lit(1).cast("bigint")
+    begun = scan(records, {"before": ("sum", F.col("quotes")), "nth": ("sum", one)}, inclusive=False)
+    state = F.when(F.col("before") % 2 == 1, F.col("inside")).otherwise(F.col("outside"))
+    # the values of one object lie one brace deeper than the entries of a list
+    base = F.when(F.col("nth") == 0, F.when(F.regexp_like("value", F.lit(r"^\s*\{")), 1).otherwise(0))
+    known = begun.select("value", "file_path", "file_size", "start", "line", state.alias("s"), base.cast("bigint").alias("own"))
+    length = (F.octet_length("value") + 1).cast("bigint")
+    deep = scan(known, {"depth": ("sum", F.col("s.depth")), "base": ("max", F.col("own")), "read": ("sum", length)}, inclusive=True)
+    broken = F.raise_error(F.concat(F.lit("not a JSON list or object of rows: "), F.col("file_path"))).cast("boolean")
+    closes = F.col("s.closes") & (F.col("depth") == F.col("base"))
+    whole = F.when(closes & (F.col("read") >= F.col("file_size")), broken).otherwise(closes)  # a file can't end with a row
+    ended = deep.select("value", "file_path", "start", "line", "base", whole.alias("whole"))
+    placed = scan(ended, {"row": ("sum", F.when(F.col("whole"), one).otherwise(0))}, inclusive=False)
+    rows = placed.groupBy("file_path", "row").agg(
+        F.sort_array(F.collect_list(F.struct("start", "line", "value"))).alias("parts"), F.max("base").alias("base"), F.bool_or("whole").alias("whole")
+    )
+    joined = F.concat(F.array_join("parts.value", "}"), F.lit("}"))
+    rest = F.regexp_replace(joined, r"\s", "")
+    # at its end a list has no brace, but its last record was given one
+    proper = F.when(F.col("base") == 0, rest.isin("]}", "[]}", "}")).otherwise(rest.isin("}", "}}", "{}", "{}}"))
+    wanted = rows.where(F.when(F.col("whole"), True).when(proper, False).otherwise(broken))
+    # before a row stand a bracket or comma, and the row's key in an object
+    entry, value = r"^\s*[\[,]\s*", r'^\s*[{,]\s*"(?:[^"\\]|\\.)*"\s*:\s*'
+    body = F.when(F.col("base") == 0, F.regexp_replace(joined, entry, "")).otherwise(F.regexp_replace(joined, value, ""))
+    parsed = wanted.select("file_path", F.from_json(body, f"struct<{_struct(schema)}>", {"mode": "FAILFAST"}).alias("r"))
+    return parsed.select("file_path", "r.*")
 
 
 def _struct(schema: str) -> str:
@@ -55,8 +106,9 @@ def _struct(schema: str) -> str:
 
 
 def read_chat_jsonl(spark: SparkSession, path: str, layout: str = "messages") -> DataFrame:
-    """All ``ft_*.jsonl`` files (or directories of that name) with the file each row came from."""
-    rows = spark.read.option("mode", "FAILFAST").schema(CHAT_SCHEMAS[layout]).json(f"{path}/ft_*.jsonl")
+    """All ``ft_*.jsonl`` files, directories of that name and runs, with the file each row came from."""
+    paths = plain_and_runs(spark, path, "ft_*.jsonl")
+    rows = spark.read.option("mode", "FAILFAST").schema(CHAT_SCHEMAS[layout]).json(paths)
     return rows.select("*", F.col("_metadata.file_path").alias("file"))
 
 
@@ -64,12 +116,15 @@ def read_tasks(spark: SparkSession, path: str, *, lines_only: bool = False) -> D
     """Task instances from JSON lines, JSON lists and JSON objects keyed by id.
 
     ``path`` is a file or a directory; ``*.jsonl`` holds lines and ``*.json`` one list or
-    object. With ``lines_only`` every file is read as lines, whatever its name, as for the
-    output of a Spark job.
+    object; runs that ``write_tasks`` made in the directory are read as well. With
+    ``lines_only`` every file is read as lines, whatever its name, as for the output of a
+    Spark job.
     """
     if lines_only:
         return _json_lines(spark, path, TASK_SCHEMA, "*")
     lines = _json_lines(spark, path, TASK_SCHEMA, "*.jsonl")
+    if runs := run_folders(spark, path, "validated_*.jsonl"):
+        lines = lines.unionByName(_json_lines(spark, runs, TASK_SCHEMA, "*"))
     documents = _json_documents(spark, path, TASK_SCHEMA, "*.json").drop("file_path")
     return lines.unionByName(documents)
 
@@ -115,9 +170,11 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_preferences(spark: SparkSession, path: str, schema: str = PREFERENCE_SCHEMA) -> DataFrame:
-    """Chosen and rejected pairs: ``dpo_preferences.json`` in a directory, or a file."""
+    """Chosen and rejected pairs: the run of a directory, else its ``dpo_preferences.json``; or a file."""
+    if runs := run_folders(spark, path, PREFERENCES):
+        return _json_lines(spark, runs, schema, "*")
     file = f"{path}/dpo_preferences.json" if _is_directory(spark, path) else path
-    return spark.read.options(multiLine="true", mode="FAILFAST").schema(schema).json(file)
+    return _json_documents(spark, file, schema).drop("file_path")
 
 
 def read_reports(spark: SparkSession, path: str) -> DataFrame:
@@ -135,11 +192,14 @@ def read_reports(spark: SparkSession, path: str) -> DataFrame:
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     """Every ``preds.json`` and ``all_preds.jsonl`` below a directory, one row per instance.
 
-    Where files disagree the first in path order wins.
+    A run that ``write_predictions`` made in the directory itself counts as well. Where files
+    disagree the first in path order wins.
     """
     deep = {"recursiveFileLookup": "true"}
-    lines = _json_lines(spark, path, PREDICTION_SCHEMA, "all_preds.jsonl", **deep)
+    lines = _json_lines(spark, path, PREDICTION_SCHEMA, PREDICTIONS, **deep)
     lines = lines.select("*", "_metadata.file_path")
+    if runs := run_folders(spark, path, PREDICTIONS):
+        lines = lines.unionByName(_json_lines(spark, runs, PREDICTION_SCHEMA, "*").select("*", "_metadata.file_path"))
     documents = _json_documents(spark, path, PREDICTION_SCHEMA, "preds.json", **deep)
     first = F.min(F.struct("file_path", "model_patch"))
     both = lines.unionByName(documents)

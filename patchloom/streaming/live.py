@@ -15,7 +15,7 @@ from patchloom.functions.rewards import FORMAT_WEIGHT, TEST_WEIGHT, log_passed
 from patchloom.operators.scans import running
 from patchloom.operators.scoring import KEY, add_reward, add_test_reward, fold_logs, score, with_patch
 from patchloom.operators.tasks import REWARD_GUARD, RUN_LIMITS
-from patchloom.plans.flows import materialize
+from patchloom.session import materialize
 
 # Seconds a completion waits for its harness log: the run's limit and its outer guard.
 LOG_WAIT = RUN_LIMITS["reward"] + REWARD_GUARD

@@ -12,7 +12,7 @@ from patchloom.operators import packing as P
 from patchloom.operators import scoring as S
 from patchloom.operators import splits as X
 from patchloom.operators import trials as D
-from patchloom.operators.scans import range_block, running
+from patchloom.operators.scans import group_head, range_block, running
 from patchloom.streaming.live import idle_sessions
 from tests.helpers import plan_of, tuples
 
@@ -103,6 +103,16 @@ def test_one_hour_and_one_task_with_most_rows(sixteen):
     assert [g[:2] for g in got] == want and all(g[2] == i and g[3] == i % 40 for i, g in enumerate(got))
 
 
+@pytest.mark.parametrize("limit", [1, 7, 100, 5000])
+def test_heads_of_groups(spark, ranges, limit):
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["hot"] * 8 + ["a", "b", None]), i) for i in range(600)]
+    df = spark.createDataFrame(rows, "k string, i int").repartition(4)
+    got = group_head(df, ["k"], ["i"], limit)
+    want = [(k, i) for key in {k for k, _ in rows} for k, i in sorted(r for r in rows if r[0] == key)[:limit]]
+    assert got.columns == ["k", "i"] and tuples(got, "k", "i") == sorted(want, key=lambda r: [(v is None, v) for v in r])
+
+
 def md5(x):
     return hashlib.md5(f"42:{x}".encode()).hexdigest()
 

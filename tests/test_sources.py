@@ -57,6 +57,41 @@ def test_tasks_in_all_three_forms(spark, tmp_path):
         S.read_tasks(spark, str(tmp_path)).collect()
 
 
+NASTY = [
+    {"instance_id": 'a"}{', "repo": "}}\\", "patch": "{[", "FAIL_TO_PASS": ["}", "{", '\\"']},
+    {"instance_id": "b\\\\", "extra": {"deep": {"x": [{}, {"y": "}"}]}}, "hints_text": '"'},
+    {"instance_id": "c\nd", "PASS_TO_PASS": [], "problem_statement": "\u00e9 \\u007d }"},
+    {},
+]
+
+
+@pytest.mark.parametrize("size", [7, 64, 1000, 10**8])
+@pytest.mark.parametrize("indent", [None, 2])
+def test_a_single_list_or_object_is_split_between_tasks(spark, tmp_path, size, indent):
+    rows = [dict(r, instance_id=f"{r.get('instance_id')}{i}") for i in range(20) for r in NASTY]
+    write(tmp_path / "list.json", json.dumps(rows, indent=indent))
+    write(tmp_path / "object.json", "\n" + json.dumps({f'k"{{}}\\{i}': r for i, r in enumerate(rows)}, indent=indent) + "\n")
+    write(tmp_path / "none.json", "[ ]")
+    write(tmp_path / "empty.json", "{}")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        read = S.read_tasks(spark, str(tmp_path))
+        got = sorted((r.instance_id, r.repo, r.patch, r.hints_text, r.problem_statement, r.FAIL_TO_PASS) for r in read.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    names = ("instance_id", "repo", "patch", "hints_text", "problem_statement", "FAIL_TO_PASS")
+    assert got == sorted([tuple(r.get(n) for n in names) for r in rows] * 2)
+
+
+@pytest.mark.parametrize("text", ['[{"repo": "a"}, {"repo"', '[{"repo": "a"}, x]', '{"k": {"repo": "a"}', '[{"repo": tru}]', '["a", "b"]'])
+def test_a_broken_list_fails_the_read(spark, tmp_path, text):
+    write(tmp_path / "a.json", text)
+    with pytest.raises(Exception):
+        S.read_tasks(spark, str(tmp_path)).collect()
+
+
 def test_corpus(spark, tmp_path):
     write(tmp_path / "one.txt", "\n\n a \n\n\n\nb\nc\n\n\n  \n\nd")
     assert tuples(S.read_corpus(spark, str(tmp_path / "one.txt")), "text") == [("a",), ("b\nc",), ("d",)]
