@@ -32,7 +32,8 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-_BASE, _SEQ = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95  # odd, so that they have inverses mod 2**64
+_BASE, _SEQ = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+_PRIME = (1 << 61) - 1
 
 
 def prepared(spark: SparkSession) -> SparkSession:
@@ -43,15 +44,18 @@ def prepared(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL: dict[str, str] = {}  # folders of local sessions that name none
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share; a temporary one only in a local session without it."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL.get(spark.sparkContext.applicationId)
     if base:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     base = tempfile.mkdtemp(prefix="patchloom-")
-    spark.conf.set("spark.checkpoint.dir", base)
+    _LOCAL[spark.sparkContext.applicationId] = base
     return base
 
 
@@ -105,19 +109,42 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+_61, _29, _32 = np.uint64(61), np.uint64(29), np.uint64(32)
+_MOD, _LOW29, _LOW32 = np.uint64(_PRIME), np.uint64((1 << 29) - 1), np.uint64((1 << 32) - 1)
+_CHUNK = 1 << 15  # values multiplied at a time: what a step needs stays in the cache
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """64-bit values modulo 2**61 - 1."""
+    x = (x & _MOD) + (x >> _61)
+    return np.where(x >= _MOD, x - _MOD, x)
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo 2**61 - 1, of reduced values, from products of halves."""
+    low_a, high_a, low_b, high_b = a & _LOW32, a >> _32, b & _LOW32, b >> _32
+    low, middle = low_a * low_b, low_a * high_b + high_a * low_b
+    total = (high_a * high_b << np.uint64(3)) + (middle >> _29) + ((middle & _LOW29) << _32)
+    return _reduced(total + (low >> _61) + (low & _MOD))
+
+
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i mod 2**64 for i < n, kept between batches."""
+    """base**i and base**-i modulo 2**61 - 1 for i < n, kept between batches."""
     have = _POWERS.get(base)
     if have is None or len(have[0]) < n:
         size = max(n, 1 << 16)
         both = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            col = np.full(size, b, dtype=np.uint64)
-            col[0] = 1
-            both.append(np.multiply.accumulate(col))
+        for b in (base % _PRIME, pow(base, -1, _PRIME)):
+            col = np.ones(size, dtype=np.uint64)
+            done = 1
+            while done < size:
+                more = min(done, size - done)
+                col[done : done + more] = _product(col[:more], np.uint64(pow(b, done, _PRIME)))
+                done += more
+            both.append(col)
         have = _POWERS[base] = (both[0], both[1])
         if size > 1 << 23:  # a very long document: do not keep its tables
             del _POWERS[base]
@@ -125,11 +152,27 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """A 64-bit hash of each run values[start:end] that depends on its content alone."""
+    """A hash of each run values[start:end] that depends on its content alone.
+
+    A polynomial in ``base`` modulo the prime 2**61 - 1, from sums over prefixes. (Modulo a
+    power of two, sequences as simple as Thue and Morse's collide for every base.)
+    """
     forth, back = _powers(base, len(values) + 1)
-    sums = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * forth[: len(values)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * back[starts])
+    high, low = np.zeros(len(values) + 1, dtype=np.uint64), np.zeros(len(values) + 1, dtype=np.uint64)
+    for at in range(0, len(values), _CHUNK):
+        to = min(at + _CHUNK, len(values))
+        terms = _product(_reduced(values[at:to]), forth[at:to])
+        np.cumsum(terms >> _32, out=high[at + 1 : to + 1])
+        np.cumsum(terms & _LOW32, out=low[at + 1 : to + 1])
+        high[at + 1 : to + 1] += high[at]
+        low[at + 1 : to + 1] += low[at]
+    out = np.empty(len(starts), dtype=np.uint64)
+    for at in range(0, len(starts), _CHUNK):
+        s, e = starts[at : at + _CHUNK], ends[at : at + _CHUNK]
+        h, rest = high[e] - high[s], low[e] - low[s]
+        total = (h >> _29) + ((h & _LOW29) << _32) + (rest & _MOD) + (rest >> _61)
+        out[at : at + _CHUNK] = mix(_product(_reduced(total), back[s]))
+    return out
 
 
 @dataclass
