@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
+import zlib
+from bisect import bisect_left
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,7 +14,8 @@ from pyspark.sql import functions as F
 
 from patchloom.llm.common import pack, prepared, slices, unpack
 
-PIECE_WORDS = 4
+# A piece ends after a word whose checksum is 0 modulo the first, or with so many words.
+PIECE_ENDS, PIECE_WORDS = 4, 12
 SECTION_ENDS = 8  # a paragraph ends its section when its hash is 0 modulo this
 
 
@@ -20,14 +23,25 @@ def _hash(data: bytes, size: int = 8) -> str:
     return hashlib.blake2b(data, digest_size=size).hexdigest()
 
 
+def _pieces(words: list[bytes]) -> list[str]:
+    """Short hashes of the runs of words of a paragraph."""
+    out, start = [], 0
+    for i, word in enumerate(words, 1):
+        if zlib.crc32(word) % PIECE_ENDS == 0 or i - start == PIECE_WORDS or i == len(words):
+            out.append(hashlib.blake2b(b" ".join(words[start:i]), digest_size=4).hexdigest())
+            start = i
+    return out
+
+
 def fingerprint(text: str | None) -> str:
     """A text's tree as one string: ``root|section[paragraph(pieces)...]...``.
 
     A paragraph is a line; a section ends after a paragraph whose own hash says so, so an
     insertion moves no later border. Paragraphs hash their exact text, sections the hashes
     of their paragraphs, the root those of its sections: two texts have one root when they
-    are equal. Below a paragraph, runs of ``PIECE_WORDS`` words have short hashes, so that
-    long paragraphs can be compared in part. Null counts as empty.
+    are equal. Below a paragraph, runs of a few words have short hashes, so that long
+    paragraphs can be compared in part; words say where a run ends, so a word put in changes
+    the run it is in and seldom another. Null counts as empty.
     """
     sections, paragraphs, hashes = [], [], b""
 
@@ -39,12 +53,7 @@ def fingerprint(text: str | None) -> str:
 
     for line in (text or "").encode("utf-8", "surrogatepass").split(b"\n"):
         own = hashlib.blake2b(line, digest_size=8)
-        words = line.split()
-        pieces = [
-            hashlib.blake2b(b" ".join(words[i : i + PIECE_WORDS]), digest_size=4).hexdigest()
-            for i in range(0, len(words), PIECE_WORDS)
-        ]
-        paragraphs.append(f"{own.hexdigest()}({''.join(pieces)})")
+        paragraphs.append(f"{own.hexdigest()}({''.join(_pieces(line.split()))})")
         hashes += own.digest()
         if own.digest()[-1] % SECTION_ENDS == 0:
             close()
@@ -67,29 +76,54 @@ def parse(mark: str) -> tuple[str, list[tuple[str, list[tuple[str, list[str]]]]]
     return root, sections
 
 
+def _ranks(values: list[int]) -> list[int]:
+    """Length of the longest rising sequence that ends at each value."""
+    tails: list[int] = []
+    out = []
+    for v in values:
+        at = bisect_left(tails, v)
+        tails[at : at + 1] = [v]
+        out.append(at + 1)
+    return out
+
+
+def _settled(one: list[str], other: list[str]) -> set[int]:
+    """Places of ``one`` that every longest common order with ``other`` keeps.
+
+    Equal entries are matched in turn. What is moved is in no longest order, and of entries that
+    changed places neither is in all of them, so both count as moved.
+    """
+    where = defaultdict(list)
+    for j in reversed(range(len(other))):
+        where[other[j]].append(j)
+    pairs = [(i, where[x].pop()) for i, x in enumerate(one) if where[x]]
+    ahead = _ranks([j for _, j in pairs])
+    behind = _ranks([-j for _, j in reversed(pairs)])[::-1]
+    longest = max(ahead, default=0)
+    kept = [k for k in range(len(pairs)) if ahead[k] + behind[k] - 1 == longest]
+    alone = Counter(ahead[k] for k in kept)
+    return {pairs[k][0] for k in kept if alone[ahead[k]] == 1}
+
+
 def differing_paragraphs(one: str, other: str) -> list[int]:
-    """Places of paragraphs of ``one`` that ``other`` lacks, going down only where hashes differ."""
-    root, sections = parse(one)
-    other_root, other_sections = parse(other)
+    """Places of paragraphs of ``one`` that ``other`` lacks or has in another place.
+
+    Goes down only into sections that differ or were moved.
+    """
+    (root, sections), (other_root, other_sections) = parse(one), parse(other)
     if root == other_root:
         return []
-    same_sections = Counter(s for s, _ in other_sections)
-    open_ones, at = [], 0
-    for head, paragraphs in sections:
-        if same_sections[head] > 0:
-            same_sections[head] -= 1
-        else:
-            open_ones.append((at, paragraphs))
+    heads, other_heads = [s for s, _ in sections], [s for s, _ in other_sections]
+    closed, other_closed = _settled(heads, other_heads), _settled(other_heads, heads)
+    places, own, at = [], [], 0
+    for k, (_, paragraphs) in enumerate(sections):
+        if k not in closed:
+            places += range(at, at + len(paragraphs))
+            own += [p for p, _ in paragraphs]
         at += len(paragraphs)
-    rest = Counter(p for head, ps in other_sections if same_sections[head] > 0 for p, _ in ps)
-    found = []
-    for at, paragraphs in open_ones:
-        for i, (own, _) in enumerate(paragraphs):
-            if rest[own] > 0:
-                rest[own] -= 1
-            else:
-                found.append(at + i)
-    return found
+    rest = [p for k, (_, ps) in enumerate(other_sections) if k not in other_closed for p, _ in ps]
+    same = _settled(own, rest)
+    return [place for k, place in enumerate(places) if k not in same]
 
 
 def likeness(one: str, other: str) -> float:
@@ -126,7 +160,8 @@ def edit_report(docs: DataFrame, *, blocks: int | None = None) -> DataFrame:
     Neighbours meet without a sort of the whole table in one task: actual ids at even
     quantiles cut the order into ranges, and the document that begins a range (its largest
     id) is also sent to the range before it, which ends by looking at it. Texts move once.
-    ``blocks`` is the number of ranges (shuffle partitions by default).
+    ``blocks`` is the number of ranges (shuffle partitions by default); each is a partition.
+    Ids are numbers.
 
     Null text: empty. Rows with one id are ordered by text. Rows with null ids come last in
     the descending order. A single document is its own next. An empty table gives no rows.
@@ -143,12 +178,15 @@ def edit_report(docs: DataFrame, *, blocks: int | None = None) -> DataFrame:
     id_column = F.col("doc_id")
     place = F.when(id_column.isNull(), 0)
     bounds = F.array(*map(F.lit, cuts)) if cuts else F.array().cast(f"array<{kind}>")
-    place = place.otherwise(F.size(F.filter(bounds, lambda c: c < id_column)) + 1)
+    # the number of cuts below an id, by binary search
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(max(1, len(cuts).bit_length())))])
+    below = F.aggregate(steps, F.lit(0), lambda at, n: F.when(F.get(bounds, at + n - 1) < id_column, at + n).otherwise(at))
+    place = place.otherwise(below + 1)
     lowest, highest = (0 if ends.nulls or not cuts else 1), len(cuts)
     own = docs.select("doc_id", "text").withColumns({"_place": place.cast("int"), "_ahead": F.lit(False)})
     # the largest of a range (one id, any rows that share it) is looked at by the range above it
     above = F.when(F.col("_place") == highest, lowest).otherwise(F.col("_place") + 1)
-    is_head = id_column.isin(cuts) if cuts else F.lit(False)
+    is_head = F.coalesce(F.get(bounds, F.col("_place") - 1) == id_column, F.lit(False))
     heads = own.where(is_head).withColumns({"_place": above.cast("int"), "_ahead": F.lit(True)})
     if ends.nulls and cuts:  # range 1 is followed by the null ids
         none = own.where("_place = 0").groupBy().agg(F.min("text").alias("text"), F.max(F.when(F.col("text").isNull(), 1)).alias("_null"))
@@ -182,7 +220,7 @@ def edit_report(docs: DataFrame, *, blocks: int | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_place"), batch.column("_ahead"), packed, first], ["doc_id", "_place", "_ahead", "packed", "_first"])
 
     small = own.union(heads).mapInArrow(pack_all, f"doc_id {kind}, _place int, _ahead boolean, packed binary, _first string")
-    ordered = small.repartition(blocks, "_place").sortWithinPartitions(F.desc("_place"), F.asc("_ahead"), F.desc_nulls_last("doc_id"), "_first", "packed")
+    ordered = small.repartitionById(blocks + 1, "_place").sortWithinPartitions(F.desc("_place"), F.asc("_ahead"), F.desc_nulls_last("doc_id"), "_first", "packed")
     return ordered.mapInArrow(run, schema)
 
 
