@@ -16,6 +16,9 @@ SIMILARITY = 0.8  # one less the edits per word of the item
 WALKS = 6  # random walks
 SAMPLES = 8  # bit samples of each walk
 BITS = 2  # positions in a sample
+# Items of more words are sampled at one position: walks of long items with all their edits
+# agree in too few places for two, and a window with a seed is seldom there by chance.
+LONG_ITEM = 40
 # Items in one pass, at most: what goes to the tasks is bounded, a larger benchmark takes more passes.
 PASS_ITEMS = 20_000
 
@@ -47,7 +50,7 @@ def embed(rows: np.ndarray, steps: int, walk: int) -> np.ndarray:
 
 
 def sampled(embedded: np.ndarray, lengths: np.ndarray, walk: int) -> np.ndarray:
-    """LSH values of embedded rows: (rows, SAMPLES), each from ``BITS`` places of the walk.
+    """LSH values of embedded rows: (rows, SAMPLES), each from ``BITS`` places of the walk, or one.
 
     Places are drawn within the three steps a word that a walk of that length takes at most,
     leaning to the front, where walks are still in step.
@@ -55,9 +58,11 @@ def sampled(embedded: np.ndarray, lengths: np.ndarray, walk: int) -> np.ndarray:
     draw = np.random.default_rng(walk + 1).random((SAMPLES, BITS))
     value = np.zeros((len(embedded), SAMPLES), dtype=np.uint64)
     line = np.arange(len(embedded))[:, None]
+    short = (lengths <= LONG_ITEM)[:, None]
     for bit in range(BITS):
         place = (draw[None, :, bit] * 2 * lengths[:, None]).astype(np.int64)
-        value = mix(value ^ embedded[line, place]) + place.astype(np.uint64)
+        drawn = mix(value ^ embedded[line, place]) + place.astype(np.uint64)
+        value = drawn if bit == 0 else np.where(short, drawn, value)
     return value
 
 
