@@ -33,11 +33,21 @@ def unescape(text: str) -> str:
 
 @dataclass
 class Flattened:
-    """Content as one escaped string, with what was attached and the tokens it stands for."""
+    """Content as one escaped string, with what was attached and the tokens it stands for.
+
+    Text parts that follow one another are escaped as one text: a control string may be spread
+    over several of them.
+    """
 
     pieces: list[str] = field(default_factory=list)
     attachments: list[dict] = field(default_factory=list)
     media_tokens: int = 0
+    said: list[str] = field(default_factory=list)  # text since the last placeholder
+
+    def end_text(self) -> None:
+        if self.said:
+            self.pieces.append(escape("".join(self.said)))
+            self.said.clear()
 
 
 class Visitor:
@@ -53,13 +63,14 @@ class Visitor:
     def flatten(self, content: str | list | dict | None) -> Flattened:
         out = Flattened()
         self.visit(content, out)
+        out.end_text()
         return out
 
     def visit(self, part: object, out: Flattened) -> None:
         if part is None:
             return
         if isinstance(part, str):
-            out.pieces.append(escape(part))
+            out.said.append(part)
         elif isinstance(part, list):
             for one in part:
                 self.visit(one, out)
@@ -85,6 +96,7 @@ class Visitor:
         self._attach("document", part, max(int(part.get("pages") or 1), 1) * self.page_tokens, out)
 
     def _attach(self, kind: str, part: dict, tokens: int, out: Flattened) -> None:
+        out.end_text()
         out.pieces.append(f"<|{kind}:{len(out.attachments)}|>")
         out.attachments.append({"kind": kind, "ref": part.get("ref"), "tokens": tokens})
         out.media_tokens += tokens
