@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -56,6 +57,8 @@ _STRIP = re.compile(r"^\W+|\W+$")
 LONG, SHORT = 200, 70
 STOPS_HIGH, STOPS_LOW = 0.30, 0.10
 LINKS_HIGH = 0.33
+# Short lines that end a page and are no text of its own.
+_RIGHTS = re.compile(r"\W*(?:copyright\b|©|\(c\)\s*\d|all rights reserved)", re.I)
 
 
 class Block:
@@ -93,7 +96,7 @@ def blocks(page: str) -> list[Block]:
     if marks.around:
         return _blocks(page, min(marks.around, key=len), Marks())
     wide = {e for e, size in marks.sizes.items() if 2 * size > marks.total}
-    if wide and (wide & marks.titled or not any(classify(found))):
+    if wide and (wide & marks.titled or not any(_classified(found, True))):
         return _blocks(page, frozenset(wide & marks.titled or wide), Marks())
     return found
 
@@ -103,6 +106,7 @@ def _blocks(page: str, wrappers: frozenset[int], marked: Marks) -> list[Block]:
     found: list[Block] = []
     parts: list[str] = []
     stack: list[tuple[str, bool]] = []  # open elements, and whether each is beside the article
+    opened: Counter[str] = Counter()  # how many of each name are open
     around: list[tuple[int, int, bool]] = []  # open marked ones: depth, place, whether it may be a wrapper
     links = link_chars = main = beside = 0
     heading = False
@@ -140,9 +144,10 @@ def _blocks(page: str, wrappers: frozenset[int], marked: Marks) -> list[Block]:
         elif name == "br":
             parts.append(" ")
         if token[2]:
-            if any(open_name == name for open_name, _ in stack):
+            if opened[name]:
                 while stack:
                     open_name, aside = stack.pop()
+                    opened[open_name] -= 1
                     beside -= aside
                     main -= open_name in ("article", "main")
                     links -= open_name == "a"
@@ -153,6 +158,7 @@ def _blocks(page: str, wrappers: frozenset[int], marked: Marks) -> list[Block]:
         elif name not in _EMPTY and not token[4].endswith("/"):
             if name in ("p", "li", "td", "th", "tr", "dd", "dt", "option") and stack and stack[-1][0] == name:
                 _, aside = stack.pop()  # its end tag may be left out
+                opened[name] -= 1
                 beside -= aside
                 if around and around[-1][0] == len(stack):
                     around.pop()
@@ -175,6 +181,7 @@ def _blocks(page: str, wrappers: frozenset[int], marked: Marks) -> list[Block]:
                 soft = not hidden and (name == "form" or name not in _OUTSIDE) and not _APART.search(marks)
                 around.append((len(stack), token.start(), soft))
             stack.append((name, aside))
+            opened[name] += 1
             beside += aside
             main += name in ("article", "main")
             links += name == "a"
@@ -190,17 +197,31 @@ def classify(found: list[Block]) -> list[bool]:
     ones with many stop words are in, long ones with hardly any are out unless the page marks
     them as its article; short ones and those in between stay open. Second pass: an open
     block takes the label of the nearest decided block; of two equally near ones that differ,
-    and for a heading, the one that follows decides.
+    and for a heading, the one that follows decides. A page without any main text by stop
+    words may be in a language that has none here: its blocks are judged by length and links.
     """
+    out = _classified(found, True)
+    return out if any(out) else _classified(found, False)
+
+
+def _length(text: str) -> int:
+    """Characters, where one of a script without spaces counts as three."""
+    return len(text) + 2 * sum("\u2e80" <= c <= "\ud7a3" for c in text)
+
+
+def _classified(found: list[Block], by_words: bool) -> list[bool]:
     labels: list[bool | None] = []
     for b in found:
         words = b.text.split()
         if b.beside or b.link_chars > LINKS_HIGH * len(b.text):
             labels.append(False)
             continue
+        if not by_words:
+            labels.append(True if _length(b.text) >= SHORT else None)
+            continue
         stops = sum(_STRIP.sub("", w).lower() in STOP_WORDS for w in words) / len(words)
         if len(b.text) < SHORT:
-            labels.append(None)
+            labels.append(False if not b.inside and _RIGHTS.match(b.text) else None)
         elif stops >= STOPS_HIGH or (stops >= STOPS_LOW and len(b.text) >= LONG):
             labels.append(True)
         elif stops < STOPS_LOW and not b.inside:

@@ -124,8 +124,8 @@ def test_pieces_that_are_not_the_text():
 
 def test_edge_rows_equal_loops(spark, by_hand):
     given = [*EDGE, *((100 + i, t) for i, t in enumerate(TEXTS))]
-    assert ours(alignment.align_documents(docs(spark, given), A, B)) == sorted(by_hand(given), key=repr)
-    assert alignment.align_documents(docs(spark, []), A, B).count() == 0
+    assert ours(alignment.align_documents(docs(spark, given).coalesce(2), A, B)) == sorted(by_hand(given), key=repr)
+    assert alignment.align_documents(docs(spark, []).coalesce(1), A, B).count() == 0
 
 
 def test_blocks_change_nothing(spark, small, by_hand, monkeypatch):
@@ -133,13 +133,13 @@ def test_blocks_change_nothing(spark, small, by_hand, monkeypatch):
     want = sorted(by_hand(rows), key=repr)
     assert ours(queries.op13_token_alignment(spark, small)) == want
     monkeypatch.setattr(alignment, "BLOCK_LINKS", 2_000)
-    many = table(spark, small, "documents").repartition(5)
+    many = table(spark, small, "documents").repartition(2)
     assert ours(alignment.align_documents(many, A, B)) == want
 
 
 def test_links_and_pair_counts(spark):
     given = [(1, "naïve Straße"), (2, "naïve Straße"), (3, "Straße")]
-    rows = alignment.link_rows(docs(spark, given), A, B).collect()
+    rows = alignment.link_rows(docs(spark, given).coalesce(1), A, B).collect()
     by_doc = defaultdict(list)
     for r in rows:
         by_doc[r.doc_id].append((r.a_place, r.b_place, r.a_id, r.b_id, r.shared))
@@ -147,7 +147,7 @@ def test_links_and_pair_counts(spark):
     for doc_id, text in given:
         assert sum(x[4] for x in by_doc[doc_id]) == len((" " + text).encode())
     counts = Counter(p for links in by_doc.values() for p in {(x[2], x[3]) for x in links})
-    got = alignment.pair_counts(docs(spark, given), A, B).collect()
+    got = alignment.pair_counts(docs(spark, given).coalesce(1), A, B).collect()
     assert {(r.a_id, r.b_id): r.n_docs for r in got} == dict(counts)
     for r in got:
         assert r.best == (r.n_docs == max(c for (a, _), c in counts.items() if a == r.a_id))

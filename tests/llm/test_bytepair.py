@@ -92,7 +92,7 @@ def test_merges_out_of_order_are_refused():
 
 
 def test_edge_rows_and_round_trip(spark, library):
-    given = docs(spark, EDGE)
+    given = docs(spark, EDGE).coalesce(2)
     encoded = bytepair.encode_documents(given, PATH)
     want = sorted((str(i), library.encode(t or "", add_special_tokens=False).ids) for i, t in EDGE)
     assert sorted((str(r.doc_id), r.ids) for r in encoded.collect()) == want
