@@ -18,6 +18,8 @@ TRACE_CAP = 4000
 FEEDBACK_CAP = 200_000
 MIDDLE_MARK = "\n... [truncated] ...\n"
 TAIL_MARK = "\n... [truncated]"
+# Where a side record keeps the agent's trace.
+TRACE_OUTPUTS, TRACE_TEXT = "Generated Outputs", "Agent Trace"
 
 # The sequence lengths the training recipes use.
 SEQ_LIMITS = (8192, 10240, 16384, 32768)
@@ -45,13 +47,13 @@ def truncate_middle(col: Column, cap: int = TRACE_CAP) -> Column:
 def cut_trace(info: Column, cap: int = TRACE_CAP) -> Column:
     """A side record with the agent's trace inside it cut in the middle; nothing else changes.
 
-    The record is a struct that holds the struct ``Generated Outputs`` with the text ``Agent
-    Trace``. A null record, or one without outputs or trace, stays as it is.
+    The record is a struct that holds the struct ``TRACE_OUTPUTS`` with the text ``TRACE_TEXT``.
+    A null record, or one without outputs or trace, stays as it is.
     """
-    outputs = info["Generated Outputs"]
-    trace = truncate_middle(outputs["Agent Trace"], cap)
-    cut = info.withField("`Generated Outputs`", outputs.withField("`Agent Trace`", trace))
-    return F.when(outputs["Agent Trace"].isNotNull(), cut).otherwise(info)
+    outputs = info[TRACE_OUTPUTS]
+    trace = truncate_middle(outputs[TRACE_TEXT], cap)
+    cut = info.withField(f"`{TRACE_OUTPUTS}`", outputs.withField(f"`{TRACE_TEXT}`", trace))
+    return F.when(outputs[TRACE_TEXT].isNotNull(), cut).otherwise(info)
 
 
 def cap_text(col: Column, cap: int = FEEDBACK_CAP) -> Column:
