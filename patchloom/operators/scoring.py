@@ -19,9 +19,10 @@ MODES = ("test", "format", "hybrid")
 def attach_outcomes(completions: DataFrame, outcomes: DataFrame, on: Sequence[str] = KEY) -> DataFrame:
     """Left join of harness logs; a completion without a log keeps nulls.
 
-    ``outcomes`` must hold at most one row per key.
+    ``outcomes`` must hold at most one row per key. It is as long as ``completions``, so it is
+    never broadcast, however small an estimate makes it.
     """
-    return completions.join(outcomes, list(on), "left")
+    return completions.join(outcomes.hint("merge"), list(on), "left")
 
 
 def assign_tasks(
@@ -213,6 +214,8 @@ def preference_pairs(
     task: str = "task_id",
     gen: str = "gen",
     reward: str = "reward",
+    texts: DataFrame | None = None,
+    text: str = "completion",
 ) -> DataFrame:
     """Chosen and rejected generation per task, chosen strictly better.
 
@@ -220,7 +223,12 @@ def preference_pairs(
     with every worse one. Both are linear in the completions; the full set of pairs
     grows with the square of a task's completions and is not produced
     (``pair_counts`` reports its size). Completions without a reward are in no pair.
+
+    With ``texts`` (task, gen, text) the pairs carry the texts as ``chosen`` and ``rejected``.
+    Each side meets its texts by the completion's key, once and before the sides meet by task.
     """
+    if how not in ("best_worst", "best_vs_rest"):
+        raise ValueError(f"unknown pairing {how!r}")
     scored = scored.where(F.col(reward).isNotNull())
     pick = reward_levels(scored, task, gen, reward).groupBy(task).agg(
         F.max_by("_gen", "_reward").alias("chosen_gen"),
@@ -228,17 +236,24 @@ def preference_pairs(
         F.min_by("_gen", "_reward").alias("rejected_gen"),
         F.min("_reward").alias("rejected_reward"),
     )
-    if how == "best_worst":
-        return pick.where(F.col("chosen_reward") > F.col("rejected_reward"))
-    if how != "best_vs_rest":
-        raise ValueError(f"unknown pairing {how!r}")
-    rejected = scored.select(
-        task, F.col(gen).alias("rejected_gen"), F.col(reward).alias("rejected_reward")
-    )
+    better = F.col("chosen_reward") > F.col("rejected_reward")
+    if texts is None and how == "best_worst":
+        return pick.where(better)
     chosen = pick.select(task, "chosen_gen", "chosen_reward")
-    return lookup_join(rejected, chosen, [task], "inner").where(
-        F.col("chosen_reward") > F.col("rejected_reward")
-    )
+    if how == "best_worst":
+        chosen = pick.where(better).select(*chosen.columns)
+        rejected = pick.where(better).select(task, "rejected_gen", "rejected_reward")
+    else:
+        rejected = scored.select(
+            task, F.col(gen).alias("rejected_gen"), F.col(reward).alias("rejected_reward")
+        )
+    if texts is None:
+        return lookup_join(rejected, chosen, [task], "inner").where(better)
+    sides = {"chosen": chosen, "rejected": rejected}
+    for side, ids in sides.items():
+        own = texts.select(task, F.col(gen).alias(f"{side}_gen"), F.col(text).alias(side))
+        sides[side] = ids.join(own.hint("merge"), [task, f"{side}_gen"])  # as long as the completions
+    return sides["rejected"].join(sides["chosen"].hint("merge"), task).where(better)
 
 
 def pair_counts(scored: DataFrame, *, task: str = "task_id", reward: str = "reward") -> DataFrame:

@@ -90,14 +90,16 @@ def preference_set(
     """Prompt, chosen and rejected text of every preference pair, with the task's id.
 
     Pairs are picked on ids and rewards alone; the texts join the picked ones. (task_id, gen)
-    identifies a completion, task_id a task. A pair whose task is not given has no row.
+    identifies a completion, task_id a task. A pair whose task is not given has no row. Prompts
+    are rendered last, so their fixed wording is not shuffled. Every side is as long as the
+    tasks at least, whatever a plan's estimate says, so none is broadcast.
     """
-    pairs = preference_pairs(scored.select("task_id", "gen", "reward"), how)
-    for side in ("chosen", "rejected"):
-        texts = completions.select("task_id", F.col("gen").alias(f"{side}_gen"), F.col("completion").alias(side))
-        pairs = lookup_join(pairs, texts, ["task_id", f"{side}_gen"], "inner")
-    pairs = lookup_join(pairs, repair_prompts(tasks), ["task_id"], "inner")
-    return pairs.select("task_id", "prompt", "chosen", "rejected")
+    slim = scored.select("task_id", "gen", "reward")
+    pairs = preference_pairs(slim, how, texts=completions).select("task_id", "chosen", "rejected")
+    given = tasks.select("task_id", "repo", "problem_statement", "hints_text")
+    return render_repair_prompt(pairs.join(given.hint("merge"), "task_id")).select(
+        "task_id", "prompt", "chosen", "rejected"
+    )
 
 
 def skill_split(

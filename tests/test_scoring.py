@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from patchloom.functions.rewards import combine_rewards, format_reward
 from patchloom.operators import scoring as S
+from patchloom.plans import flows
 from tests.helpers import column, plan_of, tuples
 
 GOOD = "```diff\n--- a/s.py\n+++ b/s.py\n-a\n+b\n```"
@@ -152,3 +153,29 @@ def test_completions_without_a_reward_are_in_no_pair(spark):
     for how in ("best_worst", "best_vs_rest"):
         assert tuples(S.preference_pairs(scored, how), "task_id", "chosen_gen", "rejected_gen") == [(1, 1, 0)]
     assert tuples(S.pair_counts(scored), "task_id", "pairs") == [(1, 1), (2, 0)]
+
+
+def preferences(spark, how):
+    """``preference_set`` over tables read from files, with repeated and null rows, and what it must give."""
+    tasks = spark.createDataFrame([(1, "r", "p", "h"), (1, "r", "p", "h"), (2, "s", None, None), (None, "n", "n", "n")], "task_id bigint, repo string, problem_statement string, hints_text string")
+    rewards = [(1, 0, 0.5), (1, 1, 1.0), (1, 2, 1.0), (1, 3, None), (1, 4, float("nan")), (1, 5, 0.1), (2, 0, 0.3), (2, 1, 0.3), (3, 0, 1.0), (3, 1, 0.0), (None, 0, 1.0), (None, 1, 0.0)]
+    scored = spark.createDataFrame([*rewards, (1, 0, 0.5)], "task_id bigint, gen int, reward double")
+    rows = [(t, g, f"{t}-{g}") for t, g, _ in rewards]
+    texts = spark.createDataFrame([*rows, (1, 0, "1-0 again")], "task_id bigint, gen int, completion string")
+    low = {"best_worst": ["1-5"], "best_vs_rest": ["1-0", "1-0", "1-0 again", "1-0 again", "1-5"]}[how]
+    return flows.preference_set(tasks, texts, scored, how), sorted(("1-1", x) for x in low * 2)
+
+
+@pytest.mark.parametrize("how", ["best_worst", "best_vs_rest"])
+def test_preference_sets_broadcast_no_side(spark, how):
+    got, want = preferences(spark, how)
+    assert tuples(got, "chosen", "rejected") == want
+    assert {r.task_id for r in got.collect()} == {1}
+    assert "Broadcast" not in plan_of(got)
+
+
+@pytest.mark.parametrize("how", ["best_worst", "best_vs_rest"])
+def test_preference_sets_shuffle_no_rendered_prompt(spark, how):
+    got, _ = preferences(spark, how)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Instructions") == 1 and plan.index("Instructions") < plan.index("Join")  # above every join
