@@ -8,7 +8,11 @@ from pyspark.sql import types as T
 
 from patchloom.functions.text import strip
 from patchloom.operators.scans import running
-from patchloom.sources.sinks import PREDICTIONS, PREFERENCES, plain_and_runs, run_folders
+from patchloom.sources.sinks import PREDICTIONS, PREFERENCES, plain_and_runs, run_folders, size_below
+
+# What one task numbers and groups at most: lines of a text file, bytes of prediction files.
+BLOCK_LINES = 1 << 14
+GROUP_BYTES = 32 * 1024 * 1024
 
 TASK_SCHEMA = (
     "instance_id string, repo string, patch string, problem_statement string, hints_text string, "
@@ -144,7 +148,8 @@ def _paragraphs(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("line"),  # rises within a split
     )
     empty = F.when(F.col("value") == "", 1).otherwise(0).cast("bigint")
-    numbered = running(placed, ["file"], ["start", "line"], F.col("start"), {"number": ("sum", empty)})
+    block = F.struct("start", F.floor(F.col("line") / BLOCK_LINES).alias("part"))
+    numbered = running(placed, ["file"], ["start", "line"], block, {"number": ("sum", empty)})
     gathered = (
         numbered.where("value <> ''")
         .groupBy("file", "number")

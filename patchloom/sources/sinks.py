@@ -28,6 +28,12 @@ def _matching(spark: SparkSession, pattern: str) -> list:
     return [s.getPath() for s in fs.globStatus(target) or []]
 
 
+def size_below(spark: SparkSession, pattern: str) -> int:
+    """Bytes of all files at and below a path, those of replaced runs included."""
+    conf = spark._jsc.hadoopConfiguration()
+    return sum(p.getFileSystem(conf).getContentSummary(p).getLength() for p in _matching(spark, pattern))
+
+
 def _read(spark: SparkSession, target) -> str:
     stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
     try:

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from patchloom.sources import files as S
 from patchloom.sources import sinks
@@ -203,3 +204,31 @@ def test_iterations(spark, tmp_path):
     q = stream.writeStream.format("memory").queryName("its").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert spark.table("its").count() == 2
+
+
+def test_the_lines_of_one_split_are_numbered_in_blocks(spark, tmp_path, monkeypatch):
+    body = "".join(f"para {i}\nline" + "\n" * (1 + i % 4) for i in range(500))
+    write(tmp_path / "big.txt", body)
+    seen, running = [], S.running
+
+    def watched(df, keys, order, block, values):
+        seen.append(df.select(*keys, block.alias("b")).distinct().count())
+        return running(df, keys, order, block, values)
+
+    monkeypatch.setattr(S, "running", watched)
+    monkeypatch.setattr(S, "BLOCK_LINES", 100, raising=False)
+    got = sorted(r.text for r in S.read_corpus(spark, str(tmp_path)).collect())
+    assert got == sorted(t.strip() for t in body.split("\n\n") if t.strip())
+    assert max(seen) >= 15
+
+
+def test_predictions_are_grouped_in_tasks_by_their_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(S, "GROUP_BYTES", 4000, raising=False)
+    line = '{"instance_id": "i%d", "model_patch": %s}\n'
+    write(tmp_path / "b" / "all_preds.jsonl", "".join(line % (i, '"late"') for i in range(1000)))
+    write(tmp_path / "a" / "all_preds.jsonl", "".join(line % (i, "null" if i % 2 else '"first"') for i in range(0, 1000, 3)))
+    got = S.read_predictions(spark, str(tmp_path))
+    want = [(f"i{i}", "late" if i % 3 else None if i % 2 else "first") for i in range(1000)]
+    assert tuples(got, "instance_id", "model_patch") == sorted(want, key=str)
+    per_task = got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"))
+    assert per_task.agg(F.max("n")).first()[0] < 300
