@@ -137,8 +137,8 @@ def _paragraphs(spark: SparkSession, path: str) -> DataFrame:
     """Non-blank paragraphs of text files: runs of text between empty lines.
 
     Files of every size are read line by line in splits; lines are numbered by the empty
-    lines before them, split by split, and gathered per paragraph, so no task ever holds a
-    file. A byte order mark is no text.
+    lines before them, ``BLOCK_LINES`` of a split at a time, and gathered per paragraph, so no
+    task ever holds a file or a split. A byte order mark is no text.
     """
     lines = spark.read.option("pathGlobFilter", "*.txt").text(path)
     placed = lines.select(
@@ -198,7 +198,9 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     """Every ``preds.json`` and ``all_preds.jsonl`` below a directory, one row per instance.
 
     A run that ``write_predictions`` made in the directory itself counts as well. Where files
-    disagree the first in path order wins.
+    disagree the first in path order wins. Rows are grouped in as many tasks as the files have
+    ``GROUP_BYTES``: the least of texts is found by sorting, and rows that repeat a path pack
+    so well that the size of a shuffle says little about the memory of that.
     """
     deep = {"recursiveFileLookup": "true"}
     lines = _json_lines(spark, path, PREDICTION_SCHEMA, PREDICTIONS, **deep)
@@ -208,6 +210,9 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     documents = _json_documents(spark, path, PREDICTION_SCHEMA, "preds.json", **deep)
     first = F.min(F.struct("file_path", "model_patch"))
     both = lines.unionByName(documents)
+    tasks = -(-size_below(spark, path) // GROUP_BYTES)
+    if tasks > 1:
+        both = both.repartition(tasks, "instance_id")
     return both.groupBy("instance_id").agg(first.alias("_f")).select("instance_id", "_f.model_patch")
 
 
