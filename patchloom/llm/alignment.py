@@ -26,6 +26,7 @@ from patchloom.operators.scans import lookup_join
 
 BLOCK_LINKS = 1_500_000  # distinct (document, pair) entries that a block of documents holds
 PRODUCT_TERMS = 500_000  # terms of a product worked on at a time
+TOGETHER = 64  # texts whose new words are worked out together
 COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_group_links")
 
 
@@ -145,7 +146,8 @@ class Aligner:
 
     def align(self, texts: list[str | None]) -> Aligned:
         ids_b = [ids if text and ids else b"" for text, ids in zip(texts, self.b.encode([t or "" for t in texts]))]
-        ids_a = [self.a.encode(" " + text) if b else b"" for text, b in zip(texts, ids_b)]
+        plain = [" " + text if b else "" for text, b in zip(texts, ids_b)]
+        ids_a = [ids for at in range(0, len(plain), TOGETHER) for ids in self.a.plain(plain[at : at + TOGETHER])]
         ids = tuple(np.frombuffer(b"".join(x), dtype="<u4").astype(np.int64) for x in (ids_a, ids_b))
         first = tuple(np.cumsum([0, *map(len, x)]) // 4 for x in (ids_a, ids_b))
         size_a, size_b = (s[i] for s, i in zip(self.sizes, ids))

@@ -72,11 +72,9 @@ class Merges:
         self.final = {t: i for t, i in ids.items() if self.is_whole(i)}
         ends: dict[bytes, set[int]] = {}
         for t in self.final:
-            ends.setdefault(t[-3:], set()).add(len(t))
-        for end in [e for e in ends if len(e) == 3]:  # shorter tokens end there as well
-            ends[end] |= {n for n in (1, 2) if end[-n:] in self.final}
-        for end in [e for e in ends if len(e) == 2]:
-            ends[end].add(1)
+            ends.setdefault(t[-4:], set()).add(len(t))
+        for end, n in ends.items():  # shorter tokens end there as well
+            n |= {k for k in range(1, len(end)) if end[-k:] in self.final}
         self.lengths = {end: sorted(n, reverse=True) for end, n in ends.items()}
 
     def spine(self, token: int, side: int) -> list[tuple[int, int, float]]:
@@ -139,34 +137,39 @@ class PrefixTrie:
     def insert(self, word: bytes) -> int:
         """The node of a word. Nodes that are new get their state on the way down."""
         child, node, path = self.child, 0, [0]
-        for depth, byte in enumerate(word):
-            key = node << 8 | byte
-            node = child.get(key, 0)
-            if not node:
-                node = child[key] = self._grown(word, depth + 1, path)
+        for byte in word:
+            known = child.get(node << 8 | byte)
+            if known is None:
+                return self._grown(word, path)
+            node = known
             path.append(node)
         return node
 
-    def _grown(self, word: bytes, end: int, path: list[int]) -> int:
-        """A node for ``word[:end]``: the token that fits behind the state of what it leaves over."""
-        merges, last = self.merges, self.last
-        final, beside, lengths = merges.final, merges.beside, merges.lengths
-        for n in lengths.get(word[max(0, end - 3) : end]) or lengths.get(word[max(0, end - 2) : end], (1,)):
-            if n > end:
-                continue
-            token = final.get(word[end - n : end])
-            if token is None:
-                continue
-            start = path[end - n]
-            before = last[start]
-            if start:
-                fits = beside.get(before << 32 | token)
-                if not (merges.follows(before, token) if fits is None else fits):
+    def _grown(self, word: bytes, path: list[int]) -> int:
+        """Nodes for the rest of a word: each has the token that fits behind what it leaves over."""
+        merges, child, last, origin = self.merges, self.child, self.last, self.origin
+        final, beside, lengths = merges.final.get, merges.beside.get, merges.lengths.get
+        node = path[-1]
+        for end in range(len(path), len(word) + 1):
+            # a token that ends with the last bytes, or that is no longer than these
+            low = end - 4 if end > 4 else 0
+            some = lengths(word[low:end]) or lengths(word[max(0, end - 3) : end]) or lengths(word[max(0, end - 2) : end], (1,))
+            for n in some:
+                if n > end or (token := final(word[end - n : end])) is None:
                     continue
+                start = path[end - n]
+                if not start:
+                    break
+                fits = beside(last[start] << 32 | token)
+                if merges.follows(last[start], token) if fits is None else fits:
+                    break
+            else:
+                raise ValueError(f"no token ends {word[:end]!r}")
+            child[node << 8 | word[end - 1]] = node = len(last)
             last.append(token)
-            self.origin.append(start)
-            return len(last) - 1
-        raise ValueError(f"no token ends {word[:end]!r}")
+            origin.append(start)
+            path.append(node)
+        return node
 
     def encoding(self, node: int) -> list[int]:
         """Ids of the prefix that ends at a node."""
@@ -201,6 +204,7 @@ class ByteEncoder:
         self.tokens = [b""] * (1 + max([*ids.values(), *names.values()]))
         for token, i in [*ids.items(), *((name.encode(), i) for name, i in names.items())]:
             self.tokens[i] = token
+        self.coded = [i.to_bytes(4, "little") for i in range(len(self.tokens))]
         self.names = {name: i.to_bytes(4, "little") for name, i in names.items()} if special else {}
         self.name_pattern = re.compile("(" + "|".join(re.escape(n) for n in sorted(self.names, key=len, reverse=True)) + ")") if self.names else None
         self.path = path
@@ -226,26 +230,26 @@ class ByteEncoder:
             return np.array(own.encoding(own.insert(word)), dtype="<u4").tobytes()
         if len(self.trie.last) > TRIE_NODES:
             self.trie = PrefixTrie(self.merges)
-        return b"".join([i.to_bytes(4, "little") for i in self.trie.encoding(self.trie.insert(word))])
-
-    def plain(self, text: str) -> bytes:
-        words = self.split(text)
-        known = self.words
-        ids = list(map(known.get, words))
-        if None in ids:
-            new = {w for w, i in zip(words, ids) if i is None}
-            if len(known) > CACHE_WORDS:
-                known.clear()
-            found = {w: self.word(w.encode()) for w in sorted(new)}
-            known.update((w, i) for w, i in found.items() if len(w) <= LONG_WORD)
-            ids = [found[w] if i is None else i for w, i in zip(words, ids)]
-        return b"".join(ids)
+        return b"".join(map(self.coded.__getitem__, self.trie.encoding(self.trie.insert(word))))
+
+    def plain(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts without special tokens; words new in them are worked out in order, for near ones share their way."""
+        split, known = [self.split(t) for t in texts], self.words
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        found = {w: self.word(w.encode()) for w in sorted(set().union(*split).difference(known))}
+        known.update(found)
+        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        for w in found:
+            if len(w) > LONG_WORD:
+                del known[w]
+        return out
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian 32-bit values."""
         if self.name_pattern is None or not self.name_pattern.search(text):
-            return self.plain(text)
-        return b"".join([self.names[p] if p in self.names else self.plain(p) for p in self.name_pattern.split(text) if p])
+            return self.plain([text])[0]
+        return b"".join([self.names[p] if p in self.names else self.plain([p])[0] for p in self.name_pattern.split(text) if p])
 
     def decode(self, ids: bytes) -> str:
         """The text of ids; bytes that are no UTF-8 become replacement characters."""

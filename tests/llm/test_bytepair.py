@@ -110,3 +110,17 @@ def test_query_equals_the_library(spark, small, library):
         want.append((r.doc_id, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()))
     got = queries.op11_bpe_coding(spark, small).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_the_rest_of_a_word_is_grown_at_once_and_only_where_it_is_new(monkeypatch):
+    plain = bytepair.ByteEncoder(PATH, special=False)
+    calls, grown = [], bytepair.PrefixTrie._grown
+    monkeypatch.setattr(bytepair.PrefixTrie, "_grown", lambda *a: calls.append(a[1]) or grown(*a))
+    texts = ["zanquorith zanquorithel " + "x" * 300, "", "zanquorithel zanquo</s>\n\n ünï"]
+    library = Tokenizer.from_file(PATH)
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in (texts[0], "")]
+    assert plain.plain(texts)[:2] == want
+    assert calls.count(b" zanquorithel") == calls.count(b"zanquorith") == 1
+    assert len(calls) <= 12 and "x" * 300 not in plain.words
+    before = len(calls)
+    assert plain.plain(texts[:1]) == want[:1] and len(calls) == before + 1  # the long word alone is not kept
