@@ -11,7 +11,7 @@ from patchloom.operators.scans import running
 from patchloom.sources.sinks import PREDICTIONS, PREFERENCES, plain_and_runs, run_folders, size_below
 
 # What one task numbers and groups at most: lines of a text file, bytes of prediction files.
-BLOCK_LINES = 1 << 14
+BLOCK_LINES = 1 << 12
 GROUP_BYTES = 32 * 1024 * 1024
 
 TASK_SCHEMA = (
