@@ -294,14 +294,15 @@ def _partners(asking: list[tuple], own: list[tuple], percent: int) -> pa.RecordB
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
 
-def residual_links(lists: DataFrame, labels: DataFrame, texts: DataFrame, sets_of: Callable[[list[bytes]], list[np.ndarray]], percent: int) -> DataFrame:
+def residual_links(lists: DataFrame, labels: DataFrame, texts: DataFrame, sets_of: Callable[[list[bytes]], list], percent: int, partners: Callable[[list[tuple], list[tuple], int], pa.RecordBatch] = _partners) -> DataFrame:
     """Links (a, b) between components whose members meet in a list, on full sets.
 
     ``lists`` has rows (value, node), ``labels`` the components known so far, ``texts`` the
     packed text of each node. The members of a list outside its main component are compared
     with all others of the list, so no partner is left out. A list is held in blocks of
     ``BLOCK`` members; those that look for partners come to every block and stream past it,
-    ``ASKING`` at a time. For each of them, one link to a component is enough.
+    ``ASKING`` at a time. For each of them, one link to a component is enough. ``partners``
+    finds them among members of which ``sets_of`` has made what it compares.
     """
     kind = lists.schema["node"].dataType.simpleString()
     known = lookup_join(lists, labels, ["node"], "left").withColumn("label", F.coalesce("label", "node"))
@@ -331,10 +332,10 @@ def residual_links(lists: DataFrame, labels: DataFrame, texts: DataFrame, sets_o
             for member in group:
                 (some if member[4] else own_rows).append(member)
                 if len(some) == ASKING:
-                    yield _partners(some, own_rows, percent)
+                    yield partners(some, own_rows, percent)
                     some = []
             if some:
-                yield _partners(some, own_rows, percent)
+                yield partners(some, own_rows, percent)
 
     return dealt.mapInArrow(compared, f"a {kind}, b {kind}")
 
@@ -345,15 +346,24 @@ def _zstd() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
     return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
-def pack(text: str | None) -> bytes:
+def utf8(texts: pa.Array) -> list[bytes | None]:
+    """The texts of a column as bytes."""
+    return texts.cast(pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary()).to_pylist()
+
+
+def pack(text: str | bytes | None) -> bytes:
     """A text compressed for a shuffle; null counts as empty."""
-    return _zstd()[0].compress((text or "").encode())
+    return _zstd()[0].compress(text if isinstance(text, bytes) else (text or "").encode())
+
+
+def unpacked(packed: bytes) -> bytes:
+    return _zstd()[1].decompress(packed)
 
 
 def unpack(packed: bytes) -> str:
-    return _zstd()[1].decompress(packed).decode()
+    return unpacked(packed).decode()
 
 
 def text_keys(texts: pa.Array) -> np.ndarray:
     """A 31-bit checksum of each text: tells rows apart that share an id."""
-    return np.array([zlib.crc32((t or "").encode()) >> 1 for t in texts.to_pylist()], dtype=np.int64)
+    return np.array([zlib.crc32(t or b"") >> 1 for t in utf8(texts)], dtype=np.int64)

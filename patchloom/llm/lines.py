@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +11,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from patchloom.llm.common import min_label, mix, pack, prepared, residual_links, slices, text_keys, unpack, written
+from patchloom.llm.common import (
+    min_label,
+    mix,
+    pack,
+    prepared,
+    residual_links,
+    slices,
+    text_keys,
+    unpacked,
+    utf8,
+    written,
+)
 from patchloom.operators.scans import lookup_join
 
 SHINGLE = 8  # UTF-8 bytes of the normalised line
@@ -19,29 +30,47 @@ PERCENT = 80
 # Ten bands of three: a pair at the threshold meets in one of them with probability 0.999.
 BANDS, ROWS = 10, 3
 BINS = BANDS * ROWS
+FULL = 8  # a band of so many lines or fewer gives all its pairs
+HELD = 4096  # lines of one band that a task holds
+FULL_ROWS = 4_000_000  # rows of bands after which a task gives the pairs of its longest bands
+PARTS = 1024  # arrays that the bands of a slice of texts are dealt into, at least
+SKETCH = 4096  # bits a line's shingles are hashed to
 KEY, PACKED, GONE = "__patchloom_key", "__patchloom_packed", "__patchloom_gone"
 SEEN = 1_000_000  # line hashes a task remembers, to send a repeated line's keys once
 CHUNK = 1 << 16  # bytes of lines signed at once: their arrays stay in the processor's cache
-_BLANK = " \t\r\x0b\x0c"  # what a line may consist of and be blank: the white space that is joined
-_RAGGED = (b"\t", b"\r", b"\x0b", b"\x0c", b"  ", b" \n", b"\n ")
+_BLANK = b" \t\r\x0b\x0c"  # what a line may consist of and be blank: the white space that is joined
+_RARE = (b"\t", b"\r", b"\x0b", b"\x0c")
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
-def normal(line: str) -> bytes:
+def _encoded(text: str | bytes | None) -> bytes:
+    return text if isinstance(text, bytes) else (text or "").encode("utf-8", "surrogatepass")
+
+
+def normal(line: str | bytes) -> bytes:
     """A line as it is compared: lower case (A-Z), white space joined, ends trimmed."""
-    return b" ".join(line.encode("utf-8", "surrogatepass").translate(_LOWER).split())
+    return b" ".join(_encoded(line).translate(_LOWER).split())
+
 
+def _is_joined(text: bytes) -> bool:
+    """White space is joined and trimmed already."""
+    data = np.frombuffer(text, dtype=np.uint8)
+    space = data == 32
+    edge = space | (data == 10)
+    ragged = (space[1:] & edge[:-1]).any() or (edge[1:] & space[:-1]).any()
+    return not (ragged or text[:1] == b" " or text[-1:] == b" " or any(x in text for x in _RARE))
 
-def normal_lines(text: str | None) -> list[bytes]:
+
+def normal_lines(text: str | bytes | None) -> list[bytes]:
     """All lines of a text as they are compared; blank ones are empty."""
-    whole = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER)
-    if not (whole[:1] == b" " or whole[-1:] == b" " or any(x in whole for x in _RAGGED)):
-        return whole.split(b"\n")  # white space is joined and trimmed already
+    whole = _encoded(text).translate(_LOWER)
+    if _is_joined(whole):
+        return whole.split(b"\n")
     return [b" ".join(line.split()) for line in whole.split(b"\n")]
 
 
-def line_hash(line: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(line, digest_size=8).digest(), "little", signed=True)
+def line_hashes(lines: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join([blake2b(x, digest_size=8).digest() for x in lines]), dtype="<i8")
 
 
 def shingles(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -93,59 +122,117 @@ def band_keys(lines: list[bytes]) -> np.ndarray:
     table = table.reshape(-1, BINS)
     filled = table != 0xFFFFFFFF
     signature = table.astype(np.uint64)
-    for step in range(1, BINS):
-        if filled.all():
-            break
-        source, there = np.roll(table, -step, axis=1), np.roll(table != 0xFFFFFFFF, -step, axis=1)
-        take = ~filled & there
-        signature[take] = source[take].astype(np.uint64) + (np.uint64(step) << np.uint64(32))
-        filled |= take
+    short = np.flatnonzero(~filled.all(axis=1))
+    here = np.where(np.tile(filled[short], 2), np.arange(2 * BINS), 2 * BINS)
+    source = np.minimum.accumulate(here[:, ::-1], axis=1)[:, : -BINS - 1 : -1]  # from each bin on, the next filled one
+    step = (source - np.arange(BINS)).astype(np.uint64)
+    signature[short] = table[short[:, None], source % BINS].astype(np.uint64) + (step << np.uint64(32))
     key = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(lines), 1))
     for row in range(ROWS):
         key = mix(key ^ signature[:, row::ROWS])
     return key.view(np.int64)
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts to (key, line): the band keys of every line, once per task."""
-    seen: set[int] = set()
-    for batch in slices(batches, "text"):
-        new: dict[int, bytes] = {}
-        for text in batch.column("text").to_pylist():
-            for plain in normal_lines(text):
-                if plain and (h := line_hash(plain)) not in seen:
+def _keys(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Texts to (part, bands): the (key, line) of every line and band, once per task.
+
+    Keys are hashes. Those with the same remainder by ``parts`` travel as one array.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in slices(batches, "text"):
+            every = [x for text in utf8(batch.column("text")) for x in normal_lines(text) if x]
+            new: dict[int, bytes] = {}
+            for h, plain in zip(line_hashes(every).tolist(), every):
+                if h not in seen:
                     seen.add(h)
                     new[h] = plain
-        if len(seen) > SEEN:
-            seen.clear()
-        if new:
-            keys = np.concatenate([band_keys(part) for part in _chunks(list(new.values()))])
-            hashes = np.repeat(np.fromiter(new, np.int64, len(new)), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(hashes)], ["key", "line"])
+            if len(seen) > SEEN:
+                seen.clear()
+            if new:
+                keys = np.concatenate([band_keys(part) for part in _chunks(list(new.values()))]).ravel()
+                bands = np.stack([keys, np.repeat(np.fromiter(new, np.int64, len(new)), BANDS)], axis=1)
+                part = keys % parts
+                order = np.argsort(part)
+                part, first = np.unique(part[order], return_index=True)
+                ends = pa.array(np.append(first, len(keys)) * bands[0].nbytes, pa.int32())
+                data = pa.py_buffer(bands[order])
+                packed = pa.BinaryArray.from_buffers(pa.binary(), len(part), [None, ends.buffers()[1], data])
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), packed], ["part", "bands"])
+
+    return run
+
+
+def _met(keys: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in the order of (key, line), each once, without keys of one row."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    same = keys[1:] == keys[:-1]
+    met = np.zeros(len(keys), dtype=bool)
+    met[1:] |= same
+    met[:-1] |= same
+    keys, lines = keys[met], lines[order[met]]
+    order = np.lexsort((lines, keys))
+    keys, lines = keys[order], lines[order]
+    once = np.ones(len(keys), dtype=bool)
+    once[1:] = (keys[1:] != keys[:-1]) | (lines[1:] != lines[:-1])
+    return keys[once], lines[once]
+
+
+def _sizes(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of sorted keys: where its run begins, and how long it is."""
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    sizes = np.diff(np.append(first, len(keys)))
+    return np.repeat(first, sizes), np.repeat(sizes, sizes)
+
+
+def _pairs(keys: np.ndarray, lines: np.ndarray, long: np.ndarray) -> pa.RecordBatch:
+    """Rows from ``_met`` to pairs of lines of a key, a < b.
+
+    A band of ``FULL`` lines or fewer gives all pairs, without its key. A longer one, or that of
+    a ``long`` key, gives each line with the first and the one before it, with the key: all lines
+    of it are in its pairs, so they are also its membership.
+    """
+    first, sizes = _sizes(keys)
+    nth = np.arange(len(keys)) - first
+    whole = (sizes <= FULL) & ~np.isin(keys, long)
+    ends = [(at - back, at) for back in range(1, FULL) for at in [np.flatnonzero(whole & (nth >= back))]]
+    settled = sum(len(at) for _, at in ends)
+    rest, later = np.flatnonzero(~whole & (nth >= 1)), np.flatnonzero(~whole & (nth >= 2))
+    ends += [(first[rest], rest), (later - 1, later)]
+    a, b = (np.concatenate(x) for x in zip(*ends))
+    key = pa.array(keys[b], mask=np.arange(len(b)) < settled)
+    return pa.RecordBatch.from_arrays([key, pa.array(lines[a]), pa.array(lines[b])], ["key", "a", "b"])
 
 
 def _band_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, line) to pairs of each line with the first of its key and the one before.
+    """All bands of some keys, in any order, to the pairs of their lines, see ``_pairs``.
 
-    All lines of a key are in its pairs, so the pairs with their key are also its membership.
+    What is held grows with the number of keys, not with that of a key's lines: where more than
+    ``HELD`` of them have come, their pairs are given, and two are held, which tie the later
+    lines to these.
     """
-    key = first = before = None
+    held, long, full = np.zeros((0, 2), np.int64), np.zeros(0, np.int64), FULL_ROWS
+    some: list[np.ndarray] = []
+    rows = 0
     for batch in batches:
-        keys, lines = batch.column("key").to_numpy(), batch.column("line").to_numpy()
-        if not len(keys):
+        some.append(np.frombuffer(b"".join(batch.column("bands").to_pylist()), dtype=np.int64).reshape(-1, 2))
+        rows += len(some[-1])
+        if rows <= full:
             continue
-        new = np.ones(len(keys), dtype=bool)
-        new[1:] = keys[1:] != keys[:-1]
-        new[0] = key is None or keys[0] != key
-        begin = np.maximum.accumulate(np.where(new, np.arange(len(keys)), -1))
-        start = np.where(begin >= 0, lines[np.maximum(begin, 0)], lines[0] if first is None else first)
-        last = np.concatenate([[lines[0] if before is None else before], lines[:-1]])
-        key, first, before = keys[-1], start[-1], lines[-1]
-        of = np.tile(keys[~new], 2)
-        a = np.concatenate([start[~new], last[~new]])
-        b = np.tile(lines[~new], 2)
-        pairs = np.unique(np.stack([of, np.minimum(a, b), np.maximum(a, b)], axis=1)[a != b], axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs.T], ["key", "a", "b"])
+        held = np.unique(np.concatenate([held, *some]), axis=0)
+        first, sizes = _sizes(held[:, 0])
+        many = sizes > HELD
+        if many.any():
+            long = np.union1d(long, held[many, 0])
+            yield _pairs(held[many, 0], held[many, 1], long)
+            nth = np.arange(len(held)) - first
+            held = held[~many | (nth == 0) | (nth == sizes - 1)]
+        some, rows = [], len(held)
+        full = max(FULL_ROWS, 2 * rows)
+    held = np.concatenate([held, *some])
+    yield _pairs(*_met(held[:, 0], held[:, 1]), long)
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
@@ -154,16 +241,15 @@ def _occurrences(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            owner, hashes, nth = [], [], []
-            for d, text in enumerate(batch.column("text").to_pylist()):
-                for i, plain in enumerate(normal_lines(text)):
-                    if plain:
-                        owner.append(d)
-                        hashes.append(line_hash(plain))
-                        nth.append(i)
-            doc = pa.array(owner, pa.int64())
+            of_text = [normal_lines(text) for text in utf8(batch.column("text"))]
+            counts = [len(x) for x in of_text]
+            every = [x for lines in of_text for x in lines]
+            filled = np.flatnonzero([len(x) > 0 for x in every])
+            nth = np.arange(len(every)) - np.repeat(np.cumsum(counts) - counts, counts)
+            doc = pa.array(np.repeat(np.arange(len(counts)), counts)[filled])
             keys = pa.array(text_keys(batch.column("text"))).take(doc)
-            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), batch.column("doc_id").take(doc), keys, pa.array(nth, pa.int32())], ["line", "doc_id", "key", "nth"])
+            hashes = pa.array(line_hashes([x for x in every if x]))
+            yield pa.RecordBatch.from_arrays([hashes, batch.column("doc_id").take(doc), keys, pa.array(nth[filled], pa.int32())], ["line", "doc_id", "key", "nth"])
 
     ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
     return ids.mapInArrow(run, f"line long, doc_id {kind}, key long, nth int")
@@ -174,38 +260,91 @@ def _pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, PACKED):
         hashes, lines = [], []
         for packed, wanted in zip(batch.column(PACKED).to_pylist(), batch.column("wanted").to_pylist()):
-            own = unpack(packed).split("\n")
+            own = unpacked(packed).split(b"\n")
             for w in wanted:
                 hashes.append(w["line"])
                 lines.append(normal(own[w["nth"]]))
         yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(lines, pa.binary())], ["line", "words"])
 
 
+def shingle_array(line: bytes) -> np.ndarray:
+    """The distinct shingles of a line of ``SHINGLE`` bytes or more: their bytes as numbers, sorted."""
+    runs = np.sort(np.ndarray((len(line) - SHINGLE + 1,), dtype="<u8", buffer=line, strides=(1,)))
+    once = np.ones(len(runs), dtype=bool)
+    np.not_equal(runs[1:], runs[:-1], out=once[1:])
+    return runs[once]
+
+
 def shingle_set(line: bytes) -> frozenset:
     """The distinct shingles of a line: their bytes as numbers, or the whole of a short line."""
-    runs = len(line) - SHINGLE + 1
-    if runs < 1:
-        return frozenset([line])
-    return frozenset(np.ndarray((runs,), dtype="<u8", buffer=line, strides=(1,)).tolist())
+    return frozenset([line] if len(line) < SHINGLE else shingle_array(line).tolist())
+
+
+def sketches(lines: list[bytes]) -> np.ndarray:
+    """(lines, SKETCH / 64) words: the bits that the shingles of each line are hashed to."""
+    out = [np.zeros((0, SKETCH // 8), np.uint8)]
+    for part in _chunks(lines) if lines else ():
+        values, owner = shingles(part)
+        values *= np.uint64(0x9E3779B97F4A7C15)
+        values >>= np.uint64(65 - SKETCH.bit_length())
+        owner *= SKETCH
+        owner += values.view(np.int64)
+        bits = np.zeros(len(part) * SKETCH, dtype=bool)
+        bits[owner] = True
+        out.append(np.packbits(bits.reshape(-1, SKETCH), axis=1))
+    return np.concatenate(out).view(np.uint64)
+
+
+def _runs(lines: list[bytes]) -> np.ndarray:
+    """How many shingles each line has at most."""
+    return np.array([max(1, len(x) - SHINGLE + 1) for x in lines], dtype=np.int64)
+
+
+def may_link(a: np.ndarray, b: np.ndarray, runs: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of sketches can be of lines that are similar enough, ``runs`` shingles together.
+
+    A bit in one sketch alone is a shingle in one set alone, and similar sets have few of those.
+    """
+    apart = np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
+    return (100 + percent) * apart <= (100 - percent) * runs
+
+
+class Similar:
+    """Whether lines are similar enough, on their full sets; each line's is made once."""
+
+    def __init__(self, percent: int):
+        self.percent = percent
+        self.arrays: dict[int, np.ndarray] = {}
+
+    def __call__(self, a: int, x: bytes, b: int, y: bytes) -> bool:
+        """For the lines x, named a, and y, named b."""
+        if min(len(x), len(y)) < SHINGLE:  # a short line is like itself alone
+            return x == y
+        for name, line in ((a, x), (b, y)):
+            if name not in self.arrays:
+                self.arrays[name] = shingle_array(line)
+        few, many = sorted((self.arrays[a], self.arrays[b]), key=len)
+        if 100 * len(few) < self.percent * len(many):
+            return False
+        both = np.concatenate([few, many])
+        both.sort()
+        shared = int(np.count_nonzero(both[1:] == both[:-1]))
+        return 100 * shared >= self.percent * (len(both) - shared)
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs with both lines to those that are similar enough on their full sets."""
     for batch in batches:
-        keep, sets = [], {}  # many pairs of a batch have one line in common
-        for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "words", "words_b"))):
-            if a not in sets:
-                sets[a] = shingle_set(x)
-            if b not in sets:
-                sets[b] = shingle_set(y)
-            both, every = sets[a], sets[b]
-            few, many = sorted((len(both), len(every)))
-            if 100 * few < PERCENT * many:
-                keep.append(False)
-                continue
-            shared = len(both & every)
-            keep.append(100 * shared >= PERCENT * (few + many - shared))
-        good = batch.filter(pa.array(keep, pa.bool_()))
+        names = np.concatenate([batch.column(c).to_numpy() for c in ("a", "b")])
+        _, where, at = np.unique(names, return_index=True, return_inverse=True)  # many pairs of a batch have one line in common
+        words = pa.concat_arrays([batch.column("words"), batch.column("words_b")]).take(pa.array(where)).to_pylist()
+        a, b = at[: batch.num_rows], at[batch.num_rows :]
+        bits, runs = sketches(words), _runs(words)
+        keep = may_link(bits[a], bits[b], runs[a] + runs[b], PERCENT)
+        similar = Similar(PERCENT)
+        for i in np.flatnonzero(keep):
+            keep[i] = similar(a[i], words[a[i]], b[i], words[b[i]])
+        good = batch.filter(pa.array(keep))
         yield pa.RecordBatch.from_arrays([good.column("a"), good.column("b")], ["a", "b"])
 
 
@@ -218,23 +357,22 @@ def _packed(docs: DataFrame) -> DataFrame:
         for batch in slices(batches, "text"):
             texts = batch.column("text")
             # null stays null
-            packed = pa.array([None if t is None else pack(t) for t in texts.to_pylist()], pa.binary())
+            packed = pa.array([None if t is None else pack(t) for t in utf8(texts)], pa.binary())
             names = [f.name for f in fields]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(text_keys(texts)), packed], [*names, KEY, PACKED])
 
     return docs.mapInArrow(run, schema)
 
 
-def line_components(docs: DataFrame, occurrences: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """First places of lines, and for lines linked with others their component's label."""
-    pairs = docs.select("text").mapInArrow(_keys, "key long, line long")
-    pairs = pairs.repartition("key").sortWithinPartitions("key", "line").mapInArrow(_band_pairs, "key long, a long, b long")
-    bands = written(pairs, "line-bands")
+def line_components(docs: DataFrame, occurrences: DataFrame) -> DataFrame:
+    """Rows (line, label) for lines linked with others: their component's label."""
+    parts = max(PARTS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    keys = docs.select("text").mapInArrow(_keys(parts), "part int, bands binary")
+    bands = written(keys.repartition("part").mapInArrow(_band_pairs, "key long, a long, b long"), "line-bands")
     pairs = written(bands.select("a", "b").distinct(), "line-pairs")
-    places = occurrences.groupBy("line").agg(F.min(F.struct("doc_id", "key", "nth")).alias("place"), F.count("*").alias("n"))
-    places = written(places, "line-places")
     nodes = pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct()
-    wanted = lookup_join(places, nodes, ["line"], "left_semi").select("line", "place.*")
+    wanted = lookup_join(occurrences, nodes, ["line"], "left_semi")
+    wanted = wanted.groupBy("line").agg(F.min(F.struct("doc_id", "key", "nth")).alias("place")).select("line", "place.*")
     wanted = wanted.groupBy("doc_id", F.col("key").alias(KEY)).agg(F.collect_list(F.struct("line", "nth")).alias("wanted"))
     ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")
     texts = _packed(ids).join(wanted, ["doc_id", KEY]).mapInArrow(_pick, "line long, words binary")
@@ -242,7 +380,7 @@ def line_components(docs: DataFrame, occurrences: DataFrame) -> tuple[DataFrame,
     both = lookup_join(pairs.withColumn("line", F.col("a")), texts, ["line"], "inner").drop("line")
     both = lookup_join(both.withColumn("line", F.col("b")), texts.withColumnRenamed("words", "words_b"), ["line"], "inner").drop("line")
     labels = written(min_label(both.mapInArrow(_linked, "a long, b long")), "line-labels")
-    return places, _joined(labels, _unsettled(bands), texts)
+    return _joined(labels, _unsettled(bands.where("key is not null")), texts)
 
 
 def _unsettled(bands: DataFrame) -> DataFrame:
@@ -254,14 +392,35 @@ def _unsettled(bands: DataFrame) -> DataFrame:
     return lookup_join(members, one.select("key"), ["key"], "left_semi").select(F.col("key").alias("value"), "node")
 
 
-def _sets(packed: list[bytes]) -> list[np.ndarray]:
-    """Sorted shingles of each line, as numbers; a short line is told by its hash."""
-    return [np.unique(shingles([x])[0]) if len(x) >= SHINGLE else np.array([line_hash(x)]).view(np.uint64) for x in packed]
+def _sketched(packed: list[bytes]) -> list[tuple]:
+    """Each line with its sketch and how many shingles it has at most."""
+    return list(zip(sketches(packed), _runs(packed), packed))
+
+
+def _partners(asking: list[tuple], own: list[tuple], percent: int) -> pa.RecordBatch:
+    """Links (a, b) of asking lines to a block's own lines of other components, one each."""
+    out: dict[tuple, tuple] = {}
+    similar = Similar(percent)
+    if own:
+        label = np.array([r[3] for r in own])
+        bits, runs = np.stack([r[5][0] for r in own]), np.array([r[5][1] for r in own])
+        step = max(1, HELD // len(own))
+        for low in range(0, len(asking), step):
+            some = asking[low : low + step]
+            together = np.array([r[5][1] for r in some])[:, None] + runs
+            may = may_link(np.stack([r[5][0] for r in some])[:, None], bits, together, percent)
+            may &= np.array([r[3] for r in some])[:, None] != label
+            for i, k in zip(*np.nonzero(may)):
+                r, other = some[i], own[k]
+                if (r[2], other[3]) not in out and similar(r[2], r[5][2], other[2], other[5][2]):
+                    out[r[2], other[3]] = (r[2], other[2])
+    columns = list(zip(*out.values())) or [[], []]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
 
 def _joined(labels: DataFrame, members: DataFrame, texts: DataFrame) -> DataFrame:
     """Components after the lines of a band outside its main one have met all others there."""
-    found = residual_links(members, labels, texts.toDF("node", "packed"), _sets, PERCENT).distinct()
+    found = residual_links(members, labels, texts.toDF("node", "packed"), _sketched, PERCENT, _partners).distinct()
     ends = labels.withColumnRenamed("label", "root")
     for end in ("a", "b"):  # links between lines to links between their components
         known = lookup_join(found.withColumn("node", F.col(end)), ends, ["node"], "left")
@@ -284,18 +443,21 @@ def dedupe_lines(docs: DataFrame) -> DataFrame:
     Null ids: such rows are left as they are and are nobody's first line. Identical rows keep
     the same lines. An empty table gives no rows.
 
-    Two lines meet if they share a band: first each with the band's first line and with the
-    one before it there, then the lines outside the band's main component with all others of
-    it. Recall is that of the banding, and the exact check leaves no false link.
+    Two lines meet if they share a band. In a band of more than ``FULL`` lines, first each meets
+    the band's first line and the one before it there, then the lines outside the band's main
+    component meet all others of it. Recall is that of the banding, and the exact check leaves no false link.
     """
     prepared(docs.sparkSession)
     docs = docs.drop("n_lines", "n_removed")
     occurrences = written(_occurrences(docs), "line-occurrences")
-    places, labels = line_components(docs, occurrences)
-    known = lookup_join(places, labels, ["line"], "left").withColumn("label", F.coalesce("label", "line"))
-    keepers = known.groupBy("label").agg(F.min("place").alias("keeper"), F.sum("n").alias("all"))
-    repeated = lookup_join(known.select("line", "label"), keepers.where(F.col("all") > 1), ["label"], "inner")
-    met = lookup_join(occurrences, repeated.select("line", "keeper"), ["line"], "inner")
+    labels = line_components(docs, occurrences)
+    counts = occurrences.groupBy("line").agg(F.count("*").alias("n")).where("n > 1")
+    # other lines are once in the table and like no other
+    repeated = counts.select("line", F.lit(None).cast("long").alias("label")).union(labels)
+    repeated = repeated.groupBy("line").agg(F.coalesce(F.max("label"), F.col("line")).alias("label"))
+    met = written(lookup_join(occurrences, repeated, ["line"], "inner").drop("line"), "line-repeats")
+    keepers = met.groupBy("label").agg(F.min(F.struct("doc_id", "key", "nth")).alias("keeper"))
+    met = lookup_join(met, keepers, ["label"], "inner")
     gone = met.where(F.struct("doc_id", "key", "nth") != F.col("keeper"))
     gone = gone.groupBy("doc_id", F.col("key").alias(KEY)).agg(F.collect_set("nth").alias(GONE))
     whole = _packed(docs).join(gone, ["doc_id", KEY], "left")
@@ -306,15 +468,15 @@ def dedupe_lines(docs: DataFrame) -> DataFrame:
         for batch in slices(batches, PACKED):
             texts, n_lines, n_removed = [], [], []
             for packed, nths in zip(batch.column(PACKED).to_pylist(), batch.column(GONE).to_pylist()):
-                text = None if packed is None else unpack(packed)
-                lines = (text or "").split("\n")
+                text = None if packed is None else unpacked(packed)
+                lines = (text or b"").split(b"\n")
                 n_lines.append(sum(1 for x in lines if x.strip(_BLANK)))
                 n_removed.append(len(nths or ()))
                 if nths:
                     out = set(nths)
-                    text = "\n".join(x for i, x in enumerate(lines) if i not in out)
+                    text = b"\n".join(x for i, x in enumerate(lines) if i not in out)
                 texts.append(text)
-            made = {"text": pa.array(texts, pa.string()), "n_lines": pa.array(n_lines, pa.int64()), "n_removed": pa.array(n_removed, pa.int64())}
+            made = {"text": pa.array(texts, pa.binary()).cast(pa.string()), "n_lines": pa.array(n_lines, pa.int64()), "n_removed": pa.array(n_removed, pa.int64())}
             yield pa.RecordBatch.from_arrays([made[n] if n in made else batch.column(n) for n in schema.names], schema.names)
 
     out = whole.mapInArrow(run, schema)
